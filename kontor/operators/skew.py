@@ -1,0 +1,26 @@
+"""Finding keys that are too frequent for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kontor.session import materialise
+
+# A task can sort and buffer this many rows of one key without trouble.
+ROWS_PER_KEY = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_key: int = ROWS_PER_KEY) -> DataFrame | None:
+    """Keys with more than ``rows_per_key`` rows, or None if there is none.
+
+    Reads one column, counts it map-side first, and is exact. A table with fewer rows than the limit
+    needs no look at the keys at all. At most ``rows / rows_per_key`` keys can exceed the limit, so
+    the list is always small enough to broadcast.
+    """
+    if df.count() <= rows_per_key:
+        return None
+    frequent = materialise(
+        df.groupBy(key).count().where(F.col("count") > rows_per_key).select(key), f"hot-{key}"
+    )
+    return None if frequent.isEmpty() else frequent
