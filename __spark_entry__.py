@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import datetime
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from kontor.plans.warehouse import CHECK_COLUMNS, materialise_staging, register_
 from kontor.session import configure, materialise, scratch_path
 from kontor.sources.extracts import load_raw, read_holiday_seed, read_raw, write_seed
 from kontor.sources.fx import fx_date_range, fx_payload, flatten_fx, read_fx_payload
-from kontor.sources.shop_tables import ShopTables, raw_customers, shop_tables
+from kontor.sources.shop_tables import TABLES, ShopTables, raw_customers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +42,7 @@ BACKFILL_LOOKBACK_DAYS = 1500
 
 
 def _raw(spark: SparkSession, folder: str) -> ShopTables:
-    return shop_tables(configure(spark), folder)
+    return ShopTables(configure(spark), folder)
 
 
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,10 +114,11 @@ def _reloaded_customers(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_customers(read_raw(spark, raw_folder, "customers"))
 
 
-def _raw_at_cutoff(raw: ShopTables) -> ShopTables:
+def _raw_at_cutoff(raw: ShopTables) -> SimpleNamespace:
     known = lambda column: utc_naive(F.col(column)) < timestamp_literal(CUTOFF)
-    return replace(
-        raw,
+    return SimpleNamespace(
+        order_lines=raw.order_lines,
+        fx_rates=raw.fx_rates,
         orders=raw.orders.where(known("order_date") & (F.col("load_id") == "1")),
         shipments=raw.shipments.where(known("recorded_at")),
         refunds=raw.refunds.where(known("recorded_at")),
@@ -276,7 +277,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every registered query: (spark, folder of Parquet tables) -> DataFrame."""
     return {
-        **{f"stg_{name}": _staged(name) for name in ShopTables.__dataclass_fields__},
+        **{f"stg_{name}": _staged(name) for name in TABLES},
         "raw_customers_reloaded": _reloaded_customers,
         "fx_date_range": _fx_date_range,
         "fx_from_json": _fx_from_json,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kontor.functions import money_sum
@@ -16,7 +16,6 @@ from kontor.operators.checks import (
     orphans,
     outside,
     report,
-    row_count_outside,
 )
 
 # The bounds that the shop's own checks use.
@@ -96,30 +95,54 @@ def delivered_without_transit(fulfilment: DataFrame) -> DataFrame:
     )
 
 
+def order_charges(order_lines: DataFrame) -> DataFrame:
+    """Per order: the charges as billed and as the sum of the lines' shares, and the gross value."""
+    return order_lines.groupBy("order_id").agg(
+        money_sum(F.col("allocated_shipping_eur")).alias("allocated_shipping"),
+        F.max("order_shipping_amount_eur").alias("billed_shipping"),
+        money_sum(F.col("allocated_discount_eur")).alias("allocated_discount"),
+        F.max("order_discount_amount_eur").alias("billed_discount"),
+        money_sum(F.col("gross_amount_eur")).alias("order_gross_amount_eur"),
+    )
+
+
+def refund_totals(stg_refunds: DataFrame) -> DataFrame:
+    return stg_refunds.groupBy("order_id").agg(
+        money_sum(F.col("amount_eur")).alias("total_refunded_eur")
+    )
+
+
+def _misallocated(charge: str, tolerance: float) -> Column:
+    return F.abs(F.col(f"allocated_{charge}") - F.col(f"billed_{charge}")) > tolerance
+
+
+def _refunded_too_much(tolerance: float) -> Column:
+    return F.col("total_refunded_eur") > F.col("order_gross_amount_eur") + tolerance
+
+
 def allocation_gaps(
     order_lines: DataFrame, charge: str, tolerance: float = ALLOCATION_TOLERANCE
 ) -> DataFrame:
     """Orders whose allocated charge (``shipping`` or ``discount``) misses the order's charge."""
-    totals = order_lines.groupBy("order_id").agg(
-        money_sum(F.col(f"allocated_{charge}_eur")).alias("allocated_total"),
-        F.max(f"order_{charge}_amount_eur").alias("order_total"),
+    return (
+        order_charges(order_lines)
+        .where(_misallocated(charge, tolerance))
+        .select(
+            "order_id",
+            F.col(f"allocated_{charge}").alias("allocated_total"),
+            F.col(f"billed_{charge}").alias("order_total"),
+        )
     )
-    return totals.where(F.abs(F.col("allocated_total") - F.col("order_total")) > tolerance)
 
 
 def excess_refunds(
     order_lines: DataFrame, stg_refunds: DataFrame, tolerance: float = REFUND_TOLERANCE
 ) -> DataFrame:
     """Orders refunded by more than their gross value. Both sides are totalled before they meet."""
-    value = order_lines.groupBy("order_id").agg(
-        money_sum(F.col("gross_amount_eur")).alias("order_gross_amount_eur")
-    )
-    refunded = stg_refunds.groupBy("order_id").agg(
-        money_sum(F.col("amount_eur")).alias("total_refunded_eur")
-    )
     return (
-        refunded.join(value, "order_id")
-        .where(F.col("total_refunded_eur") > F.col("order_gross_amount_eur") + tolerance)
+        refund_totals(stg_refunds)
+        .join(order_charges(order_lines), "order_id")
+        .where(_refunded_too_much(tolerance))
         .select("order_id", "total_refunded_eur", "order_gross_amount_eur")
     )
 
@@ -129,13 +152,13 @@ def _row_flags(table: str, bounds: Bounds) -> dict:
     if table == "stg_order_lines":
         flags["positive_quantity"] = F.col("quantity") <= 0
     if table == "fct_order_lines":
-        flags["between:fct_order_lines.quantity"] = outside("quantity", *bounds.quantity)
+        flags["between:fct_order_lines.quantity"] = outside(F.col("quantity"), *bounds.quantity)
         flags["between:fct_order_lines.net_revenue_eur"] = outside(
-            "net_revenue_eur", *bounds.line_net_revenue
+            F.col("net_revenue_eur"), *bounds.line_net_revenue
         )
     if table == "agg_daily_revenue":
         flags["between:agg_daily_revenue.net_revenue_eur"] = outside(
-            "net_revenue_eur", *bounds.daily_revenue
+            F.col("net_revenue_eur"), *bounds.daily_revenue
         )
     if table == "fct_order_fulfilment":
         flags["delivery_after_order"] = F.col("delivered_at") < F.col("placed_at")
@@ -146,12 +169,24 @@ def _row_flags(table: str, bounds: Bounds) -> dict:
 def quality_report(tables: Mapping[str, DataFrame], bounds: Bounds = Bounds()) -> DataFrame:
     """All 57 checks over built tables: (check, violations, passed).
 
-    Row-level checks of a table share one pass over it, and only the columns they name are read.
+    Row-level checks of a table share one pass over it, the three checks on whole orders share
+    another one, and only the columns they name are read.
     """
     lines = tables["fct_order_lines"]
-    parts = [count_flagged(tables[t], _row_flags(t, bounds)) for t in NOT_NULL]
+    totals = {
+        "fct_order_lines": {
+            "row_count:fct_order_lines": outside(F.count(F.lit(1)), *bounds.row_count)
+        }
+    }
+    whole_orders = order_charges(lines).join(
+        refund_totals(tables["stg_refunds"]), "order_id", "left"
+    )
+    parts = [
+        count_flagged(tables[name], _row_flags(name, bounds), totals.get(name)) for name in NOT_NULL
+    ]
     parts += [
-        count_rows(f"unique:{t}.{key}", duplicated(tables[t], key)) for t, key in UNIQUE.items()
+        count_rows(f"unique:{name}.{key}", duplicated(tables[name], key))
+        for name, key in UNIQUE.items()
     ]
     parts += [
         count_rows(
@@ -166,9 +201,13 @@ def quality_report(tables: Mapping[str, DataFrame], bounds: Bounds = Bounds()) -
             "unique:dim_customer.customer_id,valid_from",
             duplicated(tables["dim_customer"], "customer_id", "valid_from"),
         ),
-        count_rows("row_count:fct_order_lines", row_count_outside(lines, *bounds.row_count)),
-        count_rows("shipping_allocation", allocation_gaps(lines, "shipping")),
-        count_rows("discount_allocation", allocation_gaps(lines, "discount")),
-        count_rows("refund_within_order_value", excess_refunds(lines, tables["stg_refunds"])),
+        count_flagged(
+            whole_orders,
+            {
+                "shipping_allocation": _misallocated("shipping", ALLOCATION_TOLERANCE),
+                "discount_allocation": _misallocated("discount", ALLOCATION_TOLERANCE),
+                "refund_within_order_value": _refunded_too_much(REFUND_TOLERANCE),
+            },
+        ),
     ]
     return report(parts)

@@ -27,7 +27,7 @@ from kontor.plans.incremental import (
 from kontor.plans.staging import Staging, stage, stg_customers, stg_products
 from kontor.schemas import CUSTOMER_HISTORY
 from kontor.session import materialise
-from kontor.sources.tables import UNDATED, SlicedTable
+from kontor.sources.tables import SLICE, UNDATED, SlicedTable
 
 CHECK_COLUMNS = ["address_line", "city", "postal_code", "tier"]
 
@@ -39,13 +39,14 @@ def customer_history_table(spark: SparkSession, path: str) -> SlicedTable:
 
 def refresh_customer_history(table: SlicedTable, customers: DataFrame, run_time: datetime) -> None:
     """Take one snapshot. Versions that ended in earlier months are neither read nor rewritten."""
-    if not table.exists():
+    published = table.published()
+    if published is None:
         table.replace_all(first_snapshot(customers, run_time))
         return
     affected = [UNDATED, run_time.strftime("%Y-%m")]
-    history = table.read(affected).drop("slice")
+    history = table.read(affected, published).drop(SLICE)
     rows = snapshot(history, customers, "customer_id", CHECK_COLUMNS, run_time)
-    table.replace(table.with_slice(rows), affected)
+    table.replace(table.with_slice(rows), affected, published)
 
 
 @dataclass(frozen=True)

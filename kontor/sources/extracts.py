@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ def read_raw(spark: SparkSession, raw_folder: str, name: str) -> DataFrame:
     return spark.read.schema(RAW[name]).parquet(f"{raw_folder}/{name}")
 
 
+def stored_raw(spark: SparkSession, raw_folder: str) -> SimpleNamespace:
+    """All raw tables below a folder, by name."""
+    return SimpleNamespace(**{name: read_raw(spark, raw_folder, name) for name in RAW})
+
+
 def write_seed(rows: DataFrame, path: str) -> None:
     """Write a seed as CSV with a header."""
     rows.write.mode("overwrite").option("header", True).csv(path)

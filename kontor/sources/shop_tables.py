@@ -6,7 +6,8 @@ another engine can derive the same ones. The mapping is described in FIXTURES.md
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,35 +52,62 @@ STATUS_OF_PRIORITY = {
 }
 
 
-@dataclass(frozen=True)
+TABLES = ["customers", "products", "orders", "order_lines", "shipments", "refunds", "fx_rates"]
+
+
 class ShopTables:
-    """The raw layer as lazy DataFrames."""
-
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_lines: DataFrame
-    shipments: DataFrame
-    refunds: DataFrame
-    fx_rates: DataFrame
-
-
-def shop_tables(spark: SparkSession, folder: str) -> ShopTables:
-    return ShopTables(
-        customers=raw_customers(spark, folder),
-        products=raw_products(spark, folder),
-        orders=raw_orders(spark, folder),
-        order_lines=raw_order_lines(spark, folder),
-        shipments=raw_shipments(spark, folder),
-        refunds=raw_refunds(spark, folder),
-        fx_rates=raw_fx_rates(spark, folder),
-    )
+    """The raw layer as lazy DataFrames, each one set up when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+
+    def _derive(self, mapping: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+        return mapping(self._spark, self._folder)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._derive(raw_customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._derive(raw_products)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._derive(raw_orders)
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        return self._derive(raw_order_lines)
+
+    @cached_property
+    def shipments(self) -> DataFrame:
+        return self._derive(raw_shipments)
+
+    @cached_property
+    def refunds(self) -> DataFrame:
+        return self._derive(raw_refunds)
+
+    @cached_property
+    def fx_rates(self) -> DataFrame:
+        return self._derive(raw_fx_rates)
 
 
 def _input(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_INPUTS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _spread_input(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """An input whose rows are spread over the cores.
+
+    A file of few megabytes is a single row group, which one task would read and map alone. Inputs
+    that already come in more splits than there are cores are left as they are.
+    """
+    rows = _input(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _pad(number: Column, width: int) -> Column:
     """Zero-padded text. Plain lpad would cut numbers longer than the width."""
     text = number.cast("string")
@@ -188,7 +216,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     nations = _input(spark, folder, "customer").select("c_custkey", "c_nationkey")
     loads = F.when(k % 200 == 0, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
     return (
-        _input(spark, folder, "orders")
+        _spread_input(spark, folder, "orders", "o_orderkey")
         .join(nations, F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("load_id", F.explode(loads))
         .select(
@@ -214,7 +242,7 @@ def _line_quantity() -> Column:
 
 
 def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _raw_lines_of(_input(spark, folder, "lineitem"))
+    return _raw_lines_of(_spread_input(spark, folder, "lineitem", "l_orderkey"))
 
 
 def _raw_lines_of(lineitem: DataFrame) -> DataFrame:
@@ -250,7 +278,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
     )
     first = event(1, "shipped", F.col("t1"))
     return (
-        _input(spark, folder, "orders")
+        _spread_input(spark, folder, "orders", "o_orderkey")
         .withColumn("order_status", _order_status())
         .where(F.col("order_status").isin("shipped", "delivered"))
         .withColumn("t1", shipped)
@@ -284,9 +312,9 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
 def raw_refunds(spark: SparkSession, folder: str) -> DataFrame:
     """Partial refunds of every third cancelled or refunded order that has lines."""
     k = F.col("o_orderkey")
+    lineitem = _spread_input(spark, folder, "lineitem", "l_orderkey")
     lines = keep_latest(
-        _raw_lines_of(_input(spark, folder, "lineitem").where(F.col("l_orderkey") % 3 == 0)),
-        ["order_line_id"],
+        _raw_lines_of(lineitem.where(F.col("l_orderkey") % 3 == 0)), ["order_line_id"]
     )
     value_cents = lines.groupBy("order_id").agg(
         F.sum(F.rint(F.col("quantity") * F.col("unit_price_eur") * 100).cast("bigint")).alias("vc")
@@ -336,7 +364,7 @@ def raw_fx_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def assert_raw_contract(tables: ShopTables) -> None:
-    """Names and types of the raw layer, checked without running a job."""
+    """Check names and types of the raw layer without running a job."""
     for name, schema in RAW.items():
         actual = [(f.name, f.dataType) for f in getattr(tables, name).schema.fields]
         expected = [(f.name, f.dataType) for f in schema.fields]
