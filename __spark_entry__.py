@@ -114,19 +114,24 @@ def _reloaded_customers(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_customers(read_raw(spark, raw_folder, "customers"))
 
 
-def _raw_at_cutoff(raw: ShopTables) -> SimpleNamespace:
+def _loaded(spark: SparkSession, folder: str, *names: str) -> SimpleNamespace:
+    """Some raw tables as written files, which is how repeated runs meet them."""
+    raw = _raw(spark, folder)
+    return SimpleNamespace(**{n: materialise(getattr(raw, n), f"raw-{n}") for n in names})
+
+
+def _raw_at_cutoff(raw: SimpleNamespace) -> SimpleNamespace:
+    """What the first run finds: events recorded by then, and no corrected orders."""
     known = lambda column: utc_naive(F.col(column)) < timestamp_literal(CUTOFF)
-    return SimpleNamespace(
-        order_lines=raw.order_lines,
-        fx_rates=raw.fx_rates,
-        orders=raw.orders.where(known("order_date") & (F.col("load_id") == "1")),
-        shipments=raw.shipments.where(known("recorded_at")),
-        refunds=raw.refunds.where(known("recorded_at")),
-    )
+    seen = {"orders": raw.orders.where(known("order_date") & (F.col("load_id") == "1"))}
+    for name in ("shipments", "refunds"):
+        if hasattr(raw, name):
+            seen[name] = getattr(raw, name).where(known("recorded_at"))
+    return SimpleNamespace(**{**vars(raw), **seen})
 
 
 def _lines_after_two_runs(spark: SparkSession, folder: str):
-    raw = _raw(spark, folder)
+    raw = _loaded(spark, folder, "orders", "order_lines", "fx_rates")
     table = order_lines_table(spark, scratch_path(spark, "fct_order_lines"))
     refresh_order_lines(table, _raw_at_cutoff(raw))
     refresh_order_lines(table, raw)
@@ -144,7 +149,7 @@ def _order_lines_backfill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _order_fulfilment_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _raw(spark, folder)
+    raw = _loaded(spark, folder, "orders", "shipments", "refunds")
     table = order_fulfilment_table(spark, scratch_path(spark, "fct_order_fulfilment"))
     refresh_order_fulfilment(table, _raw_at_cutoff(raw))
     refresh_order_fulfilment(table, raw)
