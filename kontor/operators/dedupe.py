@@ -42,4 +42,12 @@ def keep_latest_among(
     versions in question are shuffled. Larger lists turn into a shuffled semi join.
     """
     wanted = materialise(candidates.select(key).distinct(), f"keys-{key}")
-    return keep_latest(df.join(wanted, key, "left_semi"), [key], order)
+    # Joining on the key and its hash keeps a shuffled join's partitioning apart from the one that
+    # keep_latest asks for. Were they the same, Spark would leave out the exchange between them, and
+    # with it the group limit before it: one task would sort all versions of a hot key. This way AQE
+    # can split that key in the join, and each part passes on one row of it.
+    hashed = F.xxhash64(key).alias("_hash")
+    versions = df.select("*", hashed).join(
+        wanted.select(key, hashed), [key, "_hash"], "left_semi"
+    )
+    return keep_latest(versions.drop("_hash"), [key], order)

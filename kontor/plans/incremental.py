@@ -96,13 +96,15 @@ def order_fulfilment_batch(raw, since: datetime) -> DataFrame:
 
 
 def build_order_lines(raw, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
-    """The whole fact from the raw layer."""
-    return fct_order_lines(
-        stg_order_lines(raw.order_lines),
-        stg_orders(raw.orders),
-        stg_fx_rates(raw.fx_rates),
-        hot_keys(raw.order_lines, "order_id", rows_per_key),
-    )
+    """The whole fact from the raw layer.
+
+    With hot orders the staged lines are read by several branches, so they are written once then.
+    """
+    lines = stg_order_lines(raw.order_lines)
+    hot_orders = hot_keys(raw.order_lines, "order_id", rows_per_key)
+    if hot_orders is not None:
+        lines = materialise(lines, "staged-lines")
+    return fct_order_lines(lines, stg_orders(raw.orders), stg_fx_rates(raw.fx_rates), hot_orders)
 
 
 def build_order_fulfilment(raw) -> DataFrame:

@@ -100,3 +100,65 @@ def test_raw_columns_are_pruned(stored):
     schema = re.search(r"ReadSchema: (\S+)", text).group(1)
     assert set(re.findall(r"(\w+):", schema)) == {"order_id", "load_id", "row_id"}
     assert len(RAW["orders"]) == 9
+
+
+def test_hot_customer_is_split_over_tasks(spark, no_broadcast):
+    from kontor.operators.scd2 import as_of_join, first_snapshot
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    facts = spark.range(0, 400_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("C0"))
+        .otherwise(F.concat(F.lit("C"), F.col("id") % 5000))
+        .alias("k"),
+        F.md5(F.col("id").cast("string")).alias("payload"),
+        F.lit("2024-01-02").cast("timestamp_ntz").alias("at"),
+    )
+    customers = spark.range(5000).select(F.concat(F.lit("C"), F.col("id")).alias("k"))
+    joined = as_of_join(facts, first_snapshot(customers, "2024-01-01"), "k", "at")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        counted = joined.agg(F.count("valid_from"), F.max(F.length("payload")))
+        assert counted.collect()[0][0] == 400_000
+        assert "SortMergeJoin(skew=true)" in plan(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_hot_versions_behind_a_join_are_limited_before_the_exchange(spark, no_broadcast):
+    """A shuffled semi join must not leave all versions of one key to one task."""
+    from kontor.operators.dedupe import keep_latest_among
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    versions = spark.range(0, 300_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("K0"))
+        .otherwise(F.concat(F.lit("K"), F.col("id")))
+        .alias("k"),
+        F.lpad(F.col("id").cast("string"), 9, "0").alias("load_id"),
+        F.md5(F.col("id").cast("string")).alias("row_id"),
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        latest = keep_latest_among(versions, "k", versions.where("k < 'K2'"))
+        rows = {r["k"]: r["load_id"] for r in latest.collect()}
+        text = plan(latest).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert rows["K0"] == "000299997"
+    assert len(rows) == versions.where("k < 'K2'").select("k").distinct().count()
+    assert "SortMergeJoin(skew=true)" in text
+    partial = text.index("Partial")
+    assert text.index("Final", text.index("WindowGroupLimit")) < text.index("Exchange") < partial
