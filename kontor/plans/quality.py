@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from kontor.functions import money_sum
 from kontor.operators.checks import (
+    count_duplicates,
     count_flagged,
-    count_rows,
-    duplicated,
-    orphans,
+    count_orphans,
     outside,
     report,
 )
@@ -170,7 +169,8 @@ def quality_report(tables: Mapping[str, DataFrame], bounds: Bounds = Bounds()) -
     """All 57 checks over built tables: (check, violations, passed).
 
     Row-level checks of a table share one pass over it, the three checks on whole orders share
-    another one, and only the columns they name are read.
+    another one, all uniqueness checks share one exchange, and so do all relationships. Only the
+    columns that the checks name are read.
     """
     lines = tables["fct_order_lines"]
     totals = {
@@ -181,33 +181,25 @@ def quality_report(tables: Mapping[str, DataFrame], bounds: Bounds = Bounds()) -
     whole_orders = order_charges(lines).join(
         refund_totals(tables["stg_refunds"]), "order_id", "left"
     )
-    parts = [
-        count_flagged(tables[name], _row_flags(name, bounds), totals.get(name)) for name in NOT_NULL
-    ]
-    parts += [
-        count_rows(f"unique:{name}.{key}", duplicated(tables[name], key))
-        for name, key in UNIQUE.items()
-    ]
-    parts += [
-        count_rows(
-            f"relationship:{child}.{key}",
-            orphans(tables[child], key, tables[parent], key),
-            F.col("child_rows"),
-        )
+    per_order = {
+        "shipping_allocation": _misallocated("shipping", ALLOCATION_TOLERANCE),
+        "discount_allocation": _misallocated("discount", ALLOCATION_TOLERANCE),
+        "refund_within_order_value": _refunded_too_much(REFUND_TOLERANCE),
+    }
+    uniques = {f"unique:{name}.{key}": (tables[name], [key]) for name, key in UNIQUE.items()}
+    version = ["customer_id", "valid_from"]
+    uniques[f"unique:dim_customer.{','.join(version)}"] = (tables["dim_customer"], version)
+    relationships = {
+        f"relationship:{child}.{key}": (tables[child], key, tables[parent], key)
         for child, key, parent in RELATIONSHIPS
-    ]
+    }
+    flags = {name: _row_flags(name, bounds) for name in NOT_NULL}
+    names = [*uniques, *relationships, *per_order]
+    names += [check for name in NOT_NULL for check in (*flags[name], *totals.get(name, {}))]
+    parts = [count_flagged(tables[name], flags[name], totals.get(name)) for name in NOT_NULL]
     parts += [
-        count_rows(
-            "unique:dim_customer.customer_id,valid_from",
-            duplicated(tables["dim_customer"], "customer_id", "valid_from"),
-        ),
-        count_flagged(
-            whole_orders,
-            {
-                "shipping_allocation": _misallocated("shipping", ALLOCATION_TOLERANCE),
-                "discount_allocation": _misallocated("discount", ALLOCATION_TOLERANCE),
-                "refund_within_order_value": _refunded_too_much(REFUND_TOLERANCE),
-            },
-        ),
+        count_duplicates(uniques),
+        count_orphans(relationships),
+        count_flagged(whole_orders, per_order),
     ]
-    return report(parts)
+    return report(names, parts)

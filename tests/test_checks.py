@@ -123,3 +123,21 @@ def test_report_finds_planted_violations(spark, built):
 def test_duplicates_in_the_raw_layer(spark):
     raw = raw_frame(spark, "orders", [{"order_id": "a"}, {"order_id": "a"}, {"order_id": "b"}])
     assert as_dict(checks.duplicated(raw, "order_id"), "order_id", "count") == {"a": 2}
+
+
+def test_grouped_counts_agree_with_the_single_checks(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 1), ("y", None), ("y", None), (None, 2)], "k string, n int")
+    b = spark.createDataFrame([("x",), ("z",), ("z",)], "k string")
+    uniques = {"a": (a, ["k"]), "pair": (a, ["k", "n"]), "b": (b, ["k"]), "none": (b.distinct(), ["k"])}
+    expected = {n: checks.duplicated(df, *keys).count() for n, (df, keys) in uniques.items()}
+    assert expected == {"a": 2, "pair": 1, "b": 1, "none": 0}
+    counted = checks.count_duplicates(uniques)
+    assert as_dict(counted, "check", "violations") == {"a": 2, "pair": 1, "b": 1}
+    links = {"ab": (a, "k", b, "k"), "ba": (b, "k", a, "k"), "bb": (b, "k", b, "k")}
+    orphaned = checks.count_orphans(links)
+    assert as_dict(orphaned, "check", "violations") == {"ab": 2, "ba": 2}
+    full = checks.report([*uniques, *links], [counted, orphaned])
+    assert outcome(full) == {
+        "a": (2, False), "pair": (1, False), "b": (1, False), "none": (0, True),
+        "ab": (2, False), "ba": (2, False), "bb": (0, True),
+    }
