@@ -25,11 +25,24 @@ from kontor.plans.incremental import (
     refresh_order_lines,
 )
 from kontor.plans.staging import Staging, stage, stg_customers, stg_products
-from kontor.schemas import CUSTOMER_HISTORY
+from kontor.schemas import (
+    AGG_DAILY_REVENUE,
+    CUSTOMER_HISTORY,
+    DIM_DATE,
+    DIM_PRODUCT,
+    DIM_PUBLIC_HOLIDAY_DE,
+)
 from kontor.session import materialise
 from kontor.sources.tables import SLICE, UNDATED, SlicedTable
 
 CHECK_COLUMNS = ["address_line", "city", "postal_code", "tier"]
+# Marts that every run builds anew.
+REBUILT = {
+    "dim_product": DIM_PRODUCT,
+    "dim_public_holiday_de": DIM_PUBLIC_HOLIDAY_DE,
+    "dim_date": DIM_DATE,
+    "agg_daily_revenue": AGG_DAILY_REVENUE,
+}
 
 
 def customer_history_table(spark: SparkSession, path: str) -> SlicedTable:
@@ -90,9 +103,8 @@ class Warehouse:
 
     def marts(self) -> dict[str, DataFrame]:
         """The published tables by name."""
-        rebuilt = ["dim_product", "dim_public_holiday_de", "dim_date", "agg_daily_revenue"]
         return {
-            **{n: self.spark.read.parquet(f"{self.root}/marts/{n}") for n in rebuilt},
+            **{name: self._rebuilt(name).current() for name in REBUILT},
             "dim_customer": dim_customer(self.customer_history.current()),
             "fct_order_lines": self.order_lines.current(),
             "fct_order_fulfilment": self.order_fulfilment.current(),
@@ -102,8 +114,11 @@ class Warehouse:
         """Make the marts known to ``spark.sql`` by name."""
         register_views(self.marts())
 
+    def _rebuilt(self, name: str) -> SlicedTable:
+        return SlicedTable(self.spark, f"{self.root}/marts/{name}", REBUILT[name])
+
     def _rebuild(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/marts/{name}")
+        self._rebuilt(name).replace_all(rows)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

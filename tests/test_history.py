@@ -114,7 +114,8 @@ def test_history_table_rewrites_only_open_and_current_slices(spark, tmp_path):
     for month, city in enumerate(moves, start=1):
         rows = customers(spark, {"customer_id": "C1", "city": city}, {"customer_id": "C2"})
         refresh_customer_history(table, rows, datetime(2024, month, 15))
-    assert table.published().runs == {"2024-02": 2, "2024-03": 3, "undated": 4}
+    written_by = {name: int(run.split("-")[0]) for name, run in table.published().runs.items()}
+    assert written_by == {"2024-02": 2, "2024-03": 3, "undated": 4}
     got = dim_customer(table.current()).where("customer_id = 'C1'").orderBy("valid_from").collect()
     assert [(r["city"], r["is_current"]) for r in got] == [
         ("Aachen", False),

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from frames import as_dict, line, order, shop
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kontor.operators.upsert import delete_between, upsert, watermark
@@ -108,6 +109,24 @@ def test_unpublished_files_are_invisible(spark, table):
     assert content(table) == {"a": 1, "b": 2}
 
 
+def test_second_of_two_concurrent_writers_fails(spark, table):
+    table.replace_all(rows(spark, ("a", "2024-01-05", 1)))
+    start = table.published()
+    late = table.with_slice(rows(spark, ("x", "2024-01-05", 9)))
+    upsert(table, rows(spark, ("b", "2024-01-06", 2)), "id")
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        table.replace(late, ["2024-01", "2024-01-05"], start)
+    assert content(table) == {"a": 1, "b": 2}
+
+
+def test_table_without_slices(spark, tmp_path):
+    table = SlicedTable(spark, str(tmp_path / "t"), PLAIN)
+    for value in (1, 2):
+        table.replace_all(rows(spark, ("a", "2024-01-05", value), ("b", None, value)))
+        assert content(table) == {"a": value, "b": value}
+    assert list(table.published().runs) == ["all"]
+
+
 BASE = [order("old", "2024-01-01T00:00:00+00:00"), order("new", "2024-03-01T00:00:00+00:00")]
 LINES = [line("old-1", "old"), line("new-1", "new", price=10.0)]
 
