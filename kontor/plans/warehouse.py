@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from datetime import datetime
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +39,8 @@ from kontor.schemas import (
 from kontor.session import materialise
 from kontor.sources.tables import SLICE, UNDATED, SlicedTable
 
+T = TypeVar("T")
+
 CHECK_COLUMNS = ["address_line", "city", "postal_code", "tier"]
 # Marts that every run builds anew.
 REBUILT = {
@@ -92,14 +98,27 @@ class Warehouse:
         full_refresh: bool = False,
     ) -> None:
         """One nightly run over the raw layer. The history is never rebuilt, only added to."""
-        refresh_customer_history(self.customer_history, stg_customers(raw.customers), run_time)
-        self._rebuild("dim_product", dim_product(stg_products(raw.products)))
-        holidays = dim_public_holiday_de(holiday_seed(calendar_years(self.spark)))
-        self._rebuild("dim_public_holiday_de", holidays)
-        self._rebuild("dim_date", dim_date(date_spine(calendar_years(self.spark)), holidays))
-        refresh_order_lines(self.order_lines, raw, lookback_days, full_refresh)
-        refresh_order_fulfilment(self.order_fulfilment, raw, lookback_days, full_refresh)
-        self._rebuild("agg_daily_revenue", agg_daily_revenue(self.order_lines.current()))
+        customers, products = stg_customers(raw.customers), stg_products(raw.products)
+
+        def calendar() -> None:
+            holidays = dim_public_holiday_de(holiday_seed(calendar_years(self.spark)))
+            self._rebuild("dim_public_holiday_de", holidays)
+            self._rebuild("dim_date", dim_date(date_spine(calendar_years(self.spark)), holidays))
+
+        def revenue() -> None:
+            refresh_order_lines(self.order_lines, raw, lookback_days, full_refresh)
+            self._rebuild("agg_daily_revenue", agg_daily_revenue(self.order_lines.current()))
+
+        def fulfilment() -> None:
+            refresh_order_fulfilment(self.order_fulfilment, raw, lookback_days, full_refresh)
+
+        side_by_side(
+            revenue,
+            fulfilment,
+            lambda: refresh_customer_history(self.customer_history, customers, run_time),
+            lambda: self._rebuild("dim_product", dim_product(products)),
+            calendar,
+        )
 
     def marts(self) -> dict[str, DataFrame]:
         """The published tables by name."""
@@ -126,9 +145,19 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def side_by_side(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs from a few driver threads, so that small ones fill the gaps.
+
+    All of them are finished, or have failed, before the first error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [job.result() for job in running]
+
+
 def materialise_staging(raw) -> Staging:
     """Write the seven staging tables once, for runs in which many plans read them."""
     staged = stage(raw)
-    return Staging(
-        **{f.name: materialise(getattr(staged, f.name), f"stg-{f.name}") for f in fields(Staging)}
-    )
+    names = [f.name for f in fields(Staging)]
+    writes = [partial(materialise, getattr(staged, name), f"stg-{name}") for name in names]
+    return Staging(**dict(zip(names, side_by_side(*writes), strict=True)))
