@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime
+from pathlib import Path
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The package lies beside this file, wherever the caller was started.
+sys.path[:0] = [str(Path(__file__).resolve().parent)]
+
 import oracle_queries
 from kontor.functions import money_sum, month_start, timestamp_literal, utc_naive
 from kontor.operators.checks import duplicated, missing, orphans, out_of_range

@@ -166,7 +166,7 @@ def _row_flags(table: str, bounds: Bounds) -> dict:
 
 
 def quality_report(tables: Mapping[str, DataFrame], bounds: Bounds = Bounds()) -> DataFrame:
-    """All 57 checks over built tables: (check, violations, passed).
+    """All 57 checks over built tables: (check_name, violations, passed).
 
     Row-level checks of a table share one pass over it, the three checks on whole orders share
     another one, all uniqueness checks share one exchange, and so do all relationships. Only the

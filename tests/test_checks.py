@@ -10,7 +10,7 @@ LINE = "order_line_id string, order_id string, quantity bigint"
 
 def test_unique(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1)], "k string, n int")
-    assert as_dict(checks.duplicated(df, "k"), "k", "count") == {"a": 2}
+    assert as_dict(checks.duplicated(df, "k"), "k", "occurrences") == {"a": 2}
     assert checks.duplicated(df, "k", "n").isEmpty()
 
 
@@ -86,7 +86,7 @@ def built(spark):
 
 
 def outcome(report):
-    return {r["check"]: (r["violations"], r["passed"]) for r in report.collect()}
+    return {r["check_name"]: (r["violations"], r["passed"]) for r in report.collect()}
 
 
 def test_report_has_57_checks_and_follows_the_bounds(built):
@@ -122,7 +122,7 @@ def test_report_finds_planted_violations(spark, built):
 
 def test_duplicates_in_the_raw_layer(spark):
     raw = raw_frame(spark, "orders", [{"order_id": "a"}, {"order_id": "a"}, {"order_id": "b"}])
-    assert as_dict(checks.duplicated(raw, "order_id"), "order_id", "count") == {"a": 2}
+    assert as_dict(checks.duplicated(raw, "order_id"), "order_id", "occurrences") == {"a": 2}
 
 
 def test_grouped_counts_agree_with_the_single_checks(spark):
@@ -132,10 +132,10 @@ def test_grouped_counts_agree_with_the_single_checks(spark):
     expected = {n: checks.duplicated(df, *keys).count() for n, (df, keys) in uniques.items()}
     assert expected == {"a": 2, "pair": 1, "b": 1, "none": 0}
     counted = checks.count_duplicates(uniques)
-    assert as_dict(counted, "check", "violations") == {"a": 2, "pair": 1, "b": 1}
+    assert as_dict(counted, "check_name", "violations") == {"a": 2, "pair": 1, "b": 1}
     links = {"ab": (a, "k", b, "k"), "ba": (b, "k", a, "k"), "bb": (b, "k", b, "k")}
     orphaned = checks.count_orphans(links)
-    assert as_dict(orphaned, "check", "violations") == {"ab": 2, "ba": 2}
+    assert as_dict(orphaned, "check_name", "violations") == {"ab": 2, "ba": 2}
     full = checks.report([*uniques, *links], [counted, orphaned])
     assert outcome(full) == {
         "a": (2, False), "pair": (1, False), "b": (1, False), "none": (0, True),
