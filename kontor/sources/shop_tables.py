@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.functions import utc_naive
 from kontor.operators.dedupe import keep_latest
 from kontor.schemas import RAW
 

@@ -89,10 +89,11 @@ def test_as_of(spark):
 
 
 def test_as_of_with_a_hot_customer_keeps_every_fact(spark):
+    minutes = F.make_dt_interval(mins=F.col("id").cast("int"))
     facts = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
-        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at"),
-    )
+        (F.lit("2024-01-01").cast("timestamp_ntz") + minutes).alias("at"),
+    )
     history = first_snapshot(source(spark, ("hot", "1", "1", "x")), DAYS[0])
     history = snapshot(history, source(spark, ("hot", "2", "1", "x")), "k", ["a"], DAYS[2])
     got = as_of_join(facts, history, "k", "at")
