@@ -284,8 +284,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["revenue_by_month"](spark, "/root/testdata/sf0.001")
 
 
+def _pipeline_operators():
+    """The registry of the training-data operators, or None where that subpackage is left out."""
+    try:
+        import corpus_pipeline
+        from kontor.llm import registry
+    except ImportError:
+        return None
+    return registry.with_pipeline(corpus_pipeline)
+
+
 def queries() -> dict[str, Query]:
     """Every registered query: (spark, folder of Parquet tables) -> DataFrame."""
+    operators = _pipeline_operators()
+    return {**shop_queries(), **(operators.queries if operators else {})}
+
+
+def shop_queries() -> dict[str, Query]:
+    """The queries on the shop tables."""
     return {
         **{f"stg_{name}": _staged(name) for name in TABLES},
         "raw_customers_reloaded": _reloaded_customers,
@@ -326,5 +342,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per registered query."""
-    return oracle_queries.all_queries()
+    """DuckDB SQL per registered query that SQL can state."""
+    operators = _pipeline_operators()
+    return {**oracle_queries.all_queries(), **(operators.sql if operators else {})}

@@ -6,7 +6,7 @@ from comparison import compare, connect
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = entry.shop_queries()
 ORACLES = entry.oracle_sql()
 
 
@@ -16,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
