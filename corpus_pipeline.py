@@ -1,13 +1,70 @@
-"""From raw documents to packed training sequences, one stage after another."""
+"""From raw documents to training sequences, one stage after another.
+
+Each stage works on everything its predecessor kept, and all but the last return the columns of
+``documents``. SQL cannot state the stages; tests hold them against brute-force versions.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kontor.llm.rows import table
+from kontor.llm.language import UNKNOWN, held_out, learn_profiles, with_language
+from kontor.llm.minhash import one_per_group
+from kontor.llm.packing import pack
+from kontor.llm.rows import prepared, table
+from kontor.llm.secrets import redacted
+from kontor.llm.suffix_dedup import remove_repeats
 from kontor.session import materialise
 
-STAGES: list = []
+#: A text that is farther than this from every learned language is in none of them. Texts of the
+#: learned languages score 0.35 and more, even short ones and noisy ones.
+LEAST_SCORE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages; texts without letters and foreign ones go."""
+    prepared(spark)
+    profiles = learn_profiles(docs.where(~held_out("doc_id")))
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return with_language(docs, profiles).where(known).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    prepared(spark)
+    return one_per_group(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 400 bytes and more that occur more than once."""
+    prepared(spark)
+    columns = {"text": "kept_text", "n_chars": "cast(char_length(kept_text) as long)"}
+    return remove_repeats(docs).selectExpr(*[f"{columns.get(c, c)} as {c}" for c in docs.columns])
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with live-looking secrets replaced by a marker."""
+    prepared(spark)
+    clean = redacted(docs)
+    columns = {"n_chars": "cast(char_length(text) as long)"}
+    return clean.selectExpr(*[f"{columns.get(c, c)} as {c}" for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of the documents, with their ids."""
+    prepared(spark)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("secrets", secret_scan),
+    ("packing", packing),
+]
 ORACLE_SQL = None
 
 

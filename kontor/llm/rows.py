@@ -37,3 +37,11 @@ def row_key(id_column: str, text_column: str) -> list[Column]:
 
 
 KEY = ["k1", "k2"]
+
+#: A written table of at most so many narrow rows is broadcast; beyond that joins shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(written: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast only after its rows were counted."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written

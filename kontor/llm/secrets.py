@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kontor.llm.rows import KEY, row_key, table
+from kontor.llm.rows import KEY, row_key, sized, table
 from kontor.session import materialise
 
 # Fixed patterns: assignments, access keys, hexadecimal strings, in the order of their kinds. The last
@@ -163,14 +163,47 @@ def span_summary(spans: DataFrame) -> DataFrame:
     )
 
 
-def scanned(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", repository: str = "source"
+def redacted(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    repository: str = "source",
+    marker: str = "<secret>",
 ) -> DataFrame:
-    """``docs`` as a struct ``row`` with the summary of its spans; texts stay where they are read."""
-    summary = materialise(span_summary(scan(docs, text, key, repository)), "secret-summary")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        *row_key(key, text))
-    return keyed.join(summary, KEY, "left")
+    """``docs`` with ``marker`` in place of every live-looking secret; overlapping spans give one.
+
+    Widely copied examples stay. Rows without a live secret are returned as they are.
+    """
+    found = span_summary(scan(docs, text, key, repository)).where("n_live > 0")
+    live = F.filter("places", lambda p: p["live"])
+    places = sized(materialise(found.select(*KEY, live.alias("places")), "secret-places"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = F.col(f"row.`{text}`")
+
+    def step(done: Column, place: Column) -> Column:
+        apart = place["start"] >= done["at"]
+        between = F.substring(
+            whole, (done["at"] + 1).cast("int"), (place["start"] - done["at"]).cast("int")
+        )
+        return F.struct(
+            F.when(apart, F.concat(done["out"], between, F.lit(marker)))
+            .otherwise(done["out"])
+            .alias("out"),
+            F.greatest(done["at"], place["end"]).cast("long").alias("at"),
+        )
+
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    rest = lambda done: F.concat(
+        done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole))
+    )
+    clean = F.when(F.col("places").isNull(), whole).otherwise(
+        F.aggregate("places", begin, step, rest)
+    )
+    return (
+        docs.select(row, *row_key(key, text))
+        .join(places, KEY, "left")
+        .select(*[clean.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    )
 
 
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:

@@ -261,7 +261,7 @@ def _repeats_in_shard(min_bytes: int):
 
 _KEPT = pa.schema(
     [("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-     ("kept_sha256", pa.string()), ("kept", pa.binary())]
+     ("kept_sha256", pa.string()), ("kept", pa.binary()), ("kept_text", pa.string())]
 )
 
 
@@ -283,6 +283,7 @@ def _remove(min_bytes: int):
                 out["n_spans"].append(int((np.diff(gone.astype(np.int8)) == 1).sum() + gone[0]))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 out["kept"].append(kept)
+                out["kept_text"].append(kept.decode(errors="ignore"))
             yield pa.RecordBatch.from_pydict(out, _KEPT)
 
     return remove
@@ -373,14 +374,15 @@ def _ranges(docs: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
 def remove_repeats(
     docs: DataFrame, text: str = "text", key: str = "doc_id", min_bytes: int = MIN_BYTES
 ) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (binary).
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and what is kept.
 
     A byte goes if some string of ``min_bytes`` bytes over it also starts anywhere else, in the same
     text or another one; overlaps count and strings are judged on the input. A NULL text is empty.
     Every input row yields one row, repeated rows too (they are copies of each other). Columns of the
-    input that have one of the new names are replaced. ``kept`` may cut a character in two.
+    input that have one of the new names are replaced. ``kept`` holds the bytes, which may cut a
+    character in two; ``kept_text`` is the text without such halves, NULL where the text was.
     """
-    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
     renamed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("row"),
         *row_key(key, text),
@@ -391,7 +393,8 @@ def remove_repeats(
         ranges.groupBy(*KEY).agg(F.collect_list(F.struct("start", "wins")).alias("ranges")), KEY
     ).mapInArrow(
         _remove(min_bytes),
-        "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary",
+        "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary, "
+        "kept_text string",
     )
     # What has no repeat at all never leaves its row; only digests meet the removed ranges.
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -407,6 +410,7 @@ def remove_repeats(
             F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
             F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
             F.coalesce("kept", whole).alias("kept"),
+            F.coalesce("kept_text", "text").alias("kept_text"),
         )
     )
 
