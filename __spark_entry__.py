@@ -8,7 +8,7 @@ from datetime import datetime
 from pathlib import Path
 from types import SimpleNamespace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The package lies beside this file, wherever the caller was started.
@@ -22,6 +22,7 @@ from kontor.plans import calendar, metrics, quality, staging
 from kontor.plans.dimensions import dim_customer, dim_product
 from kontor.plans.facts import agg_daily_revenue, fct_order_fulfilment, fct_order_lines
 from kontor.plans.incremental import (
+    backfill_order_fulfilment,
     backfill_order_lines,
     build_order_fulfilment,
     build_order_lines,
@@ -30,7 +31,13 @@ from kontor.plans.incremental import (
     refresh_order_fulfilment,
     refresh_order_lines,
 )
-from kontor.plans.warehouse import CHECK_COLUMNS, materialise_staging, register_views
+from kontor.plans.warehouse import (
+    CHECK_COLUMNS,
+    customer_history_table,
+    materialise_staging,
+    refresh_customer_history,
+    register_views,
+)
 from kontor.session import configure, materialise, scratch_path
 from kontor.sources.extracts import load_raw, read_holiday_seed, read_raw, write_seed
 from kontor.sources.fx import fx_date_range, fx_payload, flatten_fx, read_fx_payload
@@ -44,6 +51,7 @@ SECOND_SNAPSHOT = datetime(1998, 6, 1)
 CUTOFF = datetime(2001, 1, 1)
 BACKFILL = ("1998-01-01", "1998-03-31")
 BACKFILL_LOOKBACK_DAYS = 1500
+WHOLE_TABLE_DAYS = 5000
 
 
 def _raw(spark: SparkSession, folder: str) -> ShopTables:
@@ -153,11 +161,21 @@ def _order_lines_backfill(spark: SparkSession, folder: str) -> DataFrame:
     return table.current()
 
 
-def _order_fulfilment_incremental(spark: SparkSession, folder: str) -> DataFrame:
+def _fulfilment_after_two_runs(spark: SparkSession, folder: str):
     raw = _loaded(spark, folder, "orders", "shipments", "refunds")
     table = order_fulfilment_table(spark, scratch_path(spark, "fct_order_fulfilment"))
     refresh_order_fulfilment(table, _raw_at_cutoff(raw))
     refresh_order_fulfilment(table, raw)
+    return table, raw
+
+
+def _order_fulfilment_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return _fulfilment_after_two_runs(spark, folder)[0].current()
+
+
+def _order_fulfilment_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    table, raw = _fulfilment_after_two_runs(spark, folder)
+    backfill_order_fulfilment(table, raw, *BACKFILL, lookback_days=WHOLE_TABLE_DAYS)
     return table.current()
 
 
@@ -172,6 +190,15 @@ def _customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _stored_customer_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The history as a stored table after two snapshots of two extracts."""
+    table = customer_history_table(spark, scratch_path(configure(spark), "customer-history"))
+    for extract, run_time in ((1, FIRST_SNAPSHOT), (2, SECOND_SNAPSHOT)):
+        customers = staging.stg_customers(raw_customers(spark, folder, extract))
+        refresh_customer_history(table, customers, run_time)
+    return dim_customer(table.current())
+
+
 def _orders_customer_as_of(spark: SparkSession, folder: str) -> DataFrame:
     orders = staging.stg_orders(_raw(spark, folder).orders).select(
         "order_id", "customer_id", "order_date_utc"
@@ -261,6 +288,54 @@ def _excess_refunds(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _spoilt(every: int) -> Column:
+    """Every so many-th order by its number, for planting violations by a fixed rule."""
+    return F.substring("order_id", 5, 20).cast("long") % every == 0
+
+
+def _negated_quantities(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every seventh order with their quantity negated break the rule, and no others."""
+    lines = staging.stg_order_lines(_raw(spark, folder).order_lines)
+    quantity = F.when(_spoilt(7), -F.col("quantity")).otherwise(F.col("quantity"))
+    return quality.non_positive_quantities(lines.withColumn("quantity", quantity))
+
+
+def _early_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """Every eleventh order is delivered an hour before it was placed."""
+    early = F.col("placed_at") - F.expr("interval 1 hour")
+    delivered = F.when(_spoilt(11), early).otherwise(F.col("delivered_at"))
+    fulfilment = _order_fulfilment(spark, folder).withColumn("delivered_at", delivered)
+    return quality.delivered_before_order(fulfilment)
+
+
+def _instant_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """Every thirteenth order is delivered when it is shipped."""
+    delivered = F.when(_spoilt(13), F.col("shipped_at")).otherwise(F.col("delivered_at"))
+    fulfilment = _order_fulfilment(spark, folder).withColumn("delivered_at", delivered)
+    return quality.delivered_without_transit(fulfilment)
+
+
+def _allocation_gaps(charge: str) -> Query:
+    """Each line of every seventeenth order is given one EUR too much of the charge."""
+    column = f"allocated_{charge}_eur"
+
+    def gaps(spark: SparkSession, folder: str) -> DataFrame:
+        share = F.when(_spoilt(17), F.col(column) + 1.0).otherwise(F.col(column))
+        return quality.allocation_gaps(
+            _order_lines(spark, folder).withColumn(column, share), charge
+        )
+
+    return gaps
+
+
+def _refunds_beyond_value(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth order is refunded three times over; the tolerance is the rule's own."""
+    raw = _raw(spark, folder)
+    amount = F.when(_spoilt(5), F.col("amount_eur") * 3).otherwise(F.col("amount_eur"))
+    refunds = staging.stg_refunds(raw.refunds).withColumn("amount_eur", amount)
+    return quality.excess_refunds(build_order_lines(raw), refunds)
+
+
 def _sql_category_revenue(spark: SparkSession, folder: str) -> DataFrame:
     """Ad-hoc SQL text on the marts as views."""
     register_views(
@@ -328,7 +403,9 @@ def shop_queries() -> dict[str, Query]:
         "fct_order_lines_incremental": _order_lines_incremental,
         "fct_order_fulfilment_incremental": _order_fulfilment_incremental,
         "fct_order_lines_backfill": _order_lines_backfill,
+        "fct_order_fulfilment_backfill": _order_fulfilment_backfill,
         "dim_customer_scd2": _customer_versions,
+        "dim_customer_stored": _stored_customer_versions,
         "orders_customer_as_of": _orders_customer_as_of,
         "city_revenue_at_order_time": _city_revenue_at_order_time,
         "dq_report": _quality_report,
@@ -338,6 +415,12 @@ def shop_queries() -> dict[str, Query]:
         "dq_orders_without_refund": _orders_without_refund,
         "dq_net_revenue_out_of_range": _net_revenue_out_of_range,
         "dq_excess_refunds": _excess_refunds,
+        "dq_negated_quantities": _negated_quantities,
+        "dq_early_deliveries": _early_deliveries,
+        "dq_instant_deliveries": _instant_deliveries,
+        "dq_shipping_gaps": _allocation_gaps("shipping"),
+        "dq_discount_gaps": _allocation_gaps("discount"),
+        "dq_refunds_beyond_value": _refunds_beyond_value,
     }
 
 

@@ -47,7 +47,8 @@ def keep_latest_among(
     # with it the group limit before it: one task would sort all versions of a hot key. This way AQE
     # can split that key in the join, and each part passes on one row of it.
     hashed = F.xxhash64(key).alias("_hash")
-    versions = df.select("*", hashed).join(
-        wanted.select(key, hashed), [key, "_hash"], "left_semi"
-    )
+    # Null-safe, because keep_latest keeps the latest row without a key as well.
+    rows, listed = df.select("*", hashed), wanted.select(F.col(key).alias("_wanted"), hashed)
+    same = F.col(key).eqNullSafe(F.col("_wanted")) & (rows["_hash"] == listed["_hash"])
+    versions = rows.join(listed, same, "left_semi")
     return keep_latest(versions.drop("_hash"), [key], order)

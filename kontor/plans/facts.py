@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kontor.functions import hours_between, micro_units, money_sum, round_cents, to_eur
@@ -35,16 +35,6 @@ def _order_charges(orders: DataFrame, fx_rates: DataFrame) -> DataFrame:
     )
 
 
-def _order_totals(over=None) -> dict:
-    """Order gross and charges: plain aggregates, or the same ones over a window."""
-    totals = {
-        "order_gross": F.sum(micro_units(F.col("gross"))),
-        "order_shipping": F.max("shipping_eur"),
-        "order_discount": F.max("discount_eur"),
-    }
-    return {name: agg.over(over) if over is not None else agg for name, agg in totals.items()}
-
-
 def _allocated(values: DataFrame) -> DataFrame:
     """Split the order's charges by each line's share of the order's gross value."""
     order_gross = F.col("order_gross") / F.lit(1_000_000.0)
@@ -70,40 +60,23 @@ def _allocated(values: DataFrame) -> DataFrame:
     )
 
 
-def fct_order_lines(
-    lines: DataFrame,
-    orders: DataFrame,
-    fx_rates: DataFrame,
-    hot_orders: DataFrame | None = None,
-) -> DataFrame:
+def fct_order_lines(lines: DataFrame, orders: DataFrame, fx_rates: DataFrame) -> DataFrame:
     """One row per order line with converted and proportionally allocated charges.
 
-    Ordinary orders: one exchange on ``order_id`` serves the join and the window that totals the
-    order. ``hot_orders`` (see ``operators.skew.hot_keys``) are kept out of that exchange. Their
-    lines stay where they are, meet their few order rows and pre-aggregated totals by broadcast,
-    and are appended. The list is bounded by rows / rows-per-key, and so is what is broadcast.
+    Gross values are totalled per order where the lines are read. Totals and charges, one row per
+    order, then meet the lines on the order and its hash: both sides come to that join from an
+    exchange of their own, so AQE can split an order that holds much of the table.
     """
     lines = lines.withColumn("gross", F.col("quantity") * F.col("unit_price_eur"))
-    charges = _order_charges(orders, fx_rates)
-    whole_order = Window.partitionBy("order_id")
-    if hot_orders is None:
-        return _allocated(lines.join(charges, "order_id").withColumns(_order_totals(whole_order)))
-
-    hot = F.broadcast(hot_orders.select("order_id"))
-    ordinary = (
-        lines.join(hot, "order_id", "left_anti")
-        .join(charges, "order_id")
-        .withColumns(_order_totals(whole_order))
-    )
-    hot_values = lines.join(hot, "order_id", "left_semi").join(
-        F.broadcast(charges.join(hot, "order_id", "left_semi")), "order_id"
-    )
-    totals = hot_values.groupBy("order_id").agg(
-        *[agg.alias(name) for name, agg in _order_totals().items()]
-    )
-    return _allocated(ordinary).unionByName(
-        _allocated(hot_values.join(F.broadcast(totals), "order_id"))
+    totals = lines.groupBy("order_id").agg(F.sum(micro_units(F.col("gross"))).alias("order_gross"))
+    hashed = F.xxhash64("order_id").alias("_hash")
+    per_order = (
+        _order_charges(orders, fx_rates)
+        .join(totals, "order_id")
+        .withColumnsRenamed({"shipping_eur": "order_shipping", "discount_eur": "order_discount"})
+        .select("*", hashed)
     )
+    return _allocated(lines.select("*", hashed).join(per_order, ["order_id", "_hash"]))
 
 
 def fct_order_fulfilment(orders: DataFrame, shipments: DataFrame, refunds: DataFrame) -> DataFrame:

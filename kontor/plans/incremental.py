@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kontor.functions import iso_lower_bound, timestamp_literal, utc_naive
 from kontor.operators.dedupe import keep_latest_among
-from kontor.operators.skew import ROWS_PER_KEY, hot_keys
 from kontor.operators.upsert import LOOKBACK_DAYS, delete_between, upsert, watermark
 from kontor.plans.facts import fct_order_fulfilment, fct_order_lines
 from kontor.plans.staging import (
@@ -65,8 +64,7 @@ def order_lines_batch(raw, since: datetime) -> DataFrame:
         ),
         "recent-lines",
     )
-    hot_orders = hot_keys(lines, "order_id")
-    return fct_order_lines(lines, orders, stg_fx_rates(raw.fx_rates), hot_orders)
+    return fct_order_lines(lines, orders, stg_fx_rates(raw.fx_rates))
 
 
 def order_fulfilment_batch(raw, since: datetime) -> DataFrame:
@@ -95,16 +93,11 @@ def order_fulfilment_batch(raw, since: datetime) -> DataFrame:
     )
 
 
-def build_order_lines(raw, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
-    """The whole fact from the raw layer.
-
-    With hot orders the staged lines are read by several branches, so they are written once then.
-    """
-    lines = stg_order_lines(raw.order_lines)
-    hot_orders = hot_keys(raw.order_lines, "order_id", rows_per_key)
-    if hot_orders is not None:
-        lines = materialise(lines, "staged-lines")
-    return fct_order_lines(lines, stg_orders(raw.orders), stg_fx_rates(raw.fx_rates), hot_orders)
+def build_order_lines(raw) -> DataFrame:
+    """The whole fact from the raw layer."""
+    return fct_order_lines(
+        stg_order_lines(raw.order_lines), stg_orders(raw.orders), stg_fx_rates(raw.fx_rates)
+    )
 
 
 def build_order_fulfilment(raw) -> DataFrame:
@@ -119,7 +112,11 @@ def refresh_order_lines(
     """Full build when there is no table yet or a full refresh is asked, else lookback + upsert."""
     since = None if full_refresh else watermark(table, "order_date_utc", lookback_days)
     if since is None:
-        table.replace_all(build_order_lines(raw))
+        # The fact reads its lines twice, so they are deduplicated once and written.
+        lines = materialise(stg_order_lines(raw.order_lines), "staged-lines")
+        table.replace_all(
+            fct_order_lines(lines, stg_orders(raw.orders), stg_fx_rates(raw.fx_rates))
+        )
     else:
         upsert(table, order_lines_batch(raw, since), "order_line_id")
 
@@ -134,9 +131,37 @@ def refresh_order_fulfilment(
         upsert(table, order_fulfilment_batch(raw, since), "order_id")
 
 
+def _backfill(
+    table: SlicedTable, start: str, end: str, lookback_days: int, column: str, newest: str, refresh
+) -> None:
+    """Delete a date window and reprocess it; refused while the lookback does not reach its start."""
+    since = watermark(table, newest, lookback_days)
+    if since is None:
+        raise ValueError("there is no table to backfill")
+    if since >= datetime.fromisoformat(start):
+        raise ValueError(
+            f"a lookback of {lookback_days} days begins at {since} and does not reach {start}: "
+            "the deleted window would stay empty"
+        )
+    delete_between(table, column, start, end, sliced_alike=True)
+    refresh(since)
+
+
 def backfill_order_lines(
     table: SlicedTable, raw, start: str, end: str, lookback_days: int, column: str = "order_date"
 ) -> None:
-    """Delete a date window and reprocess it with a lookback wide enough to reach its start."""
-    delete_between(table, column, start, end)
-    refresh_order_lines(table, raw, lookback_days)
+    """Reprocess the lines of a window of order dates."""
+    _backfill(
+        table, start, end, lookback_days, column, "order_date_utc",
+        lambda since: upsert(table, order_lines_batch(raw, since), "order_line_id"),
+    )
+
+
+def backfill_order_fulfilment(
+    table: SlicedTable, raw, start: str, end: str, lookback_days: int, column: str = "placed_at"
+) -> None:
+    """Reprocess the orders placed in a window. What concerns them was recorded after its start."""
+    _backfill(
+        table, start, end, lookback_days, column, "last_recorded_at",
+        lambda since: upsert(table, order_fulfilment_batch(raw, since), "order_id"),
+    )

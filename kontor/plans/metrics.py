@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kontor.functions import money_sum, month_start
-from kontor.sources.shop_tables import CATEGORIES
 
 NET = "net_revenue_eur"
 
@@ -97,12 +96,20 @@ def category_aov(order_lines: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def category_month_pivot(
-    order_lines: DataFrame, products: DataFrame, categories: list[str] = CATEGORIES
-) -> DataFrame:
-    """One row per month, one column per category. Naming the categories saves a job."""
+UNCATEGORISED = "uncategorised"
+
+
+def category_month_pivot(order_lines: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per month, one column per category of the product table, sorted by name.
+
+    Products without a category share one column. The names are read from the product table, which
+    is cheaper than finding them in the revenue itself.
+    """
+    category = F.coalesce("category", F.lit(UNCATEGORISED)).alias("category")
+    categories = [r[0] for r in products.select(category).distinct().orderBy("category").collect()]
     return (
         category_revenue_by_month(order_lines, products)
+        .withColumn("category", category)
         .groupBy("month")
         .pivot("category", categories)
         .agg(money_sum(F.col(NET)))

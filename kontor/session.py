@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the plans rely on. Joins carry no unconditional broadcast hints: Spark broadcasts a side
-# only while its size stays below spark.sql.autoBroadcastJoinThreshold, and AQE splits skewed
-# partitions of the sort-merge joins that remain.
+# Settings the plans rely on. Joins carry no broadcast hints: Spark broadcasts a side only while its
+# size stays below spark.sql.autoBroadcastJoinThreshold, and AQE splits skewed partitions of the
+# sort-merge joins that remain.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",

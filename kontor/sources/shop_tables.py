@@ -96,17 +96,6 @@ def _input(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_INPUTS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _spread_input(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """An input whose rows are spread over the cores.
-
-    A file of few megabytes is a single row group, which one task would read and map alone. Inputs
-    that already come in more splits than there are cores are left as they are.
-    """
-    rows = _input(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _pad(number: Column, width: int) -> Column:
     """Zero-padded text. Plain lpad would cut numbers longer than the width."""
     text = number.cast("string")
@@ -215,7 +204,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     nations = _input(spark, folder, "customer").select("c_custkey", "c_nationkey")
     loads = F.when(k % 200 == 0, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
     return (
-        _spread_input(spark, folder, "orders", "o_orderkey")
+        _input(spark, folder, "orders")
         .join(nations, F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("load_id", F.explode(loads))
         .select(
@@ -241,7 +230,7 @@ def _line_quantity() -> Column:
 
 
 def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _raw_lines_of(_spread_input(spark, folder, "lineitem", "l_orderkey"))
+    return _raw_lines_of(_input(spark, folder, "lineitem"))
 
 
 def _raw_lines_of(lineitem: DataFrame) -> DataFrame:
@@ -277,7 +266,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
     )
     first = event(1, "shipped", F.col("t1"))
     return (
-        _spread_input(spark, folder, "orders", "o_orderkey")
+        _input(spark, folder, "orders")
         .withColumn("order_status", _order_status())
         .where(F.col("order_status").isin("shipped", "delivered"))
         .withColumn("t1", shipped)
@@ -311,7 +300,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
 def raw_refunds(spark: SparkSession, folder: str) -> DataFrame:
     """Partial refunds of every third cancelled or refunded order that has lines."""
     k = F.col("o_orderkey")
-    lineitem = _spread_input(spark, folder, "lineitem", "l_orderkey")
+    lineitem = _input(spark, folder, "lineitem")
     lines = keep_latest(
         _raw_lines_of(lineitem.where(F.col("l_orderkey") % 3 == 0)), ["order_line_id"]
     )

@@ -41,13 +41,13 @@ def test_lookback_bound_reaches_the_raw_scan(stored):
     assert "GreaterThanOrEqual(order_date,2024-03-07)" in text
 
 
-def test_window_total_needs_no_second_line_exchange(stored, no_broadcast):
+def test_lines_meet_their_totals_in_one_exchange(stored, no_broadcast):
     staged = stage(stored)
     text = plan(fct_order_lines(staged.order_lines, staged.orders, staged.fx_rates))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    # lines: dedupe and order; orders: dedupe, rate and order; rates: dedupe and date.
-    assert len(re.findall(r"Exchange hashpartitioning\(order_line_id", text)) == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 3
+    # The lines themselves are exchanged for their order once; the totals come pre-aggregated.
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, _hash", text)) == 2
+    assert text.count("partial_sum") == 1
 
 
 def test_nothing_is_broadcast_without_a_size_check(stored, no_broadcast):
@@ -162,3 +162,42 @@ def test_hot_versions_behind_a_join_are_limited_before_the_exchange(spark, no_br
     assert "SortMergeJoin(skew=true)" in text
     partial = text.index("Partial")
     assert text.index("Final", text.index("WindowGroupLimit")) < text.index("Exchange") < partial
+
+
+def test_an_order_with_a_third_of_the_lines_is_split(spark, tmp_path, no_broadcast):
+    """On the bare order id the totals would reach the join without an exchange, and no split."""
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    order_id = F.when(F.col("id") % 3 == 0, "O0").otherwise(F.concat(F.lit("O"), "id"))
+    lines = spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("L"), "id").alias("order_line_id"),
+        order_id.alias("order_id"),
+        F.concat(F.lit("P"), F.xxhash64("id")).alias("product_id"),
+        F.lit(2).cast("long").alias("quantity"),
+        F.lit(10.0).alias("unit_price_eur"),
+    )
+    orders = lines.select("order_id").distinct().select(
+        "order_id",
+        F.lit("C").alias("customer_id"),
+        F.lit("placed").alias("status"),
+        F.lit("EUR").alias("currency"),
+        timestamp_literal("2024-03-01").alias("order_date_utc"),
+        F.lit(4.99).alias("shipping_amount_local"),
+        F.lit(0.0).alias("discount_amount_local"),
+    )
+    rates = spark.createDataFrame([], "rate_date date, rate double")
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        lines.write.parquet(str(tmp_path / "lines"))
+        orders.write.parquet(str(tmp_path / "orders"))
+        read = spark.read.parquet
+        df = fct_order_lines(read(str(tmp_path / "lines")), read(str(tmp_path / "orders")), rates)
+        assert len(df.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)

@@ -94,10 +94,6 @@ def test_materialised_rows_keep_schema_and_values(spark):
     assert back.schema == df.schema and back.collect() == df.collect()
 
 
-def test_small_inputs_are_spread_over_the_cores(spark, folder):
-    assert ShopTables(spark, folder).order_lines.rdd.getNumPartitions() >= 2
-
-
 @pytest.mark.parametrize("number", [7, 12_345_678])
 def test_long_keys_are_not_cut(spark, number):
     from kontor.sources.shop_tables import _order_id
