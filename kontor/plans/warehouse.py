@@ -1,4 +1,4 @@
-"""A whole run: raw to staging, history, dimensions, facts, roll-up and check report."""
+"""A whole run: raw to staging, history, dimensions, facts and roll-up."""
 
 from __future__ import annotations
 
