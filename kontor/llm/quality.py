@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kontor.llm.language import held_out
@@ -145,7 +145,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine from at most ``sample`` labelled rows outside the held-out fold.
 
     The rows are those with the smallest hashes of their ids, the same ones on every run. Their number
-    bounds what is broadcast, and their features, not their texts, come to the driver.
+    bounds what is broadcast, and their features, not their texts, come to the driver. Of rows that
+    share an id the one with the smallest text is learned from, so an id with very many rows still
+    counts once.
     """
     usable = labels.selectExpr("cast(doc_id as long) doc_id", "cast(quality as int) quality").where(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id")
@@ -157,7 +159,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
         .limit(sample)
     )
     texts = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    rows = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .withColumn("nth", F.row_number().over(first))
+        .where("nth = 1")
+        .select("doc_id", "quality", "text")
+    )
     schema = "doc_id long, quality int, places array<int>, values array<float>"
     found = rows.mapInArrow(_featured, schema).toArrow().sort_by("doc_id")
     pairs = [

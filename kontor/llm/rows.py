@@ -42,6 +42,11 @@ KEY = ["k1", "k2"]
 BROADCAST_ROWS = 1_000_000
 
 
-def sized(written: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast only after its rows were counted."""
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+def sized(written: DataFrame, entries: Column | None = None) -> DataFrame:
+    """A written table, marked for broadcast only after its rows were counted.
+
+    Where rows hold lists, ``entries`` gives a row's number of list entries, and those count.
+    """
+    weight = F.lit(1) if entries is None else F.lit(1) + entries
+    total = written.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(written) if total <= BROADCAST_ROWS else written

@@ -176,7 +176,9 @@ def redacted(
     """
     found = span_summary(scan(docs, text, key, repository)).where("n_live > 0")
     live = F.filter("places", lambda p: p["live"])
-    places = sized(materialise(found.select(*KEY, live.alias("places")), "secret-places"))
+    places = sized(
+        materialise(found.select(*KEY, live.alias("places")), "secret-places"), F.size("places")
+    )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     whole = F.col(f"row.`{text}`")
 

@@ -231,6 +231,17 @@ def test_quality_separates_held_out_rows(spark):
     assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_an_id_with_many_rows_is_learned_from_once(spark):
+    rows = [(1, "b", "x"), (2, "good words here", "x"), (3, None, "x")]
+    docs = spark.createDataFrame([*rows, *[(1, "a", "x")] * 50], "doc_id long, text string, nth string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0)] * 3, "doc_id long, quality int")
+    once = spark.createDataFrame([(1, "a"), *[r[:2] for r in rows[1:]]], "doc_id long, text string")
+    many, few = quality.learn(docs, labels), quality.learn(once, labels)
+    assert many.bias == few.bias
+    assert (many.linear == few.linear).all()
+    assert quality.score_quality(docs, labels).count() == 53
+
+
 def test_pairs_in_linear_time():
     rng = np.random.default_rng(0)
     machine = quality.Machine(0.5, rng.normal(size=20), rng.normal(size=(20, 3)))
