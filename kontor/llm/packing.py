@@ -8,6 +8,7 @@ and a batch is drawn from one bucket. So there is no padding at all and no seque
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -18,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm.bpe import REMEMBERED, in_blocks
+from kontor.llm.bpe import in_blocks
 from kontor.llm.rows import table
 
 LONGEST = 2048
 END = 1
+#: Chunks that a task remembers, about 0.2 KB each; forgetting only costs time.
+REMEMBERED = 600_000
+_LED = re.compile(r" \S")
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -39,7 +43,11 @@ def pieces(count: int, longest: int = LONGEST) -> list[tuple[int, int]]:
 
 
 class _Words:
-    """Ids of text chunks as little-endian bytes, remembered per task."""
+    """Ids of text chunks as little-endian bytes, remembered per task.
+
+    A chunk that begins with a blank and a visible character is encoded alike wherever it stands, so
+    all new ones are encoded as one text, and the bytes of its tokens tell where each chunk ends.
+    """
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,15 +55,33 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        # In a byte-level vocabulary each character of a token stands for one byte.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.ids: dict[str, bytes] = {}
 
     def learn(self, chunks: set[str]) -> None:
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
         new = [c for c in chunks if c not in self.ids]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for chunk, encoded in zip(new, found, strict=True):
+        led: list[str] = []
+        first: list[str] = []
+        for chunk in new:
+            (led if _LED.match(chunk) else first).append(chunk)
+        found = self.tokenizer.encode_batch_fast(["".join(led), *first], add_special_tokens=False)
+        for chunk, encoded in zip(first, found[1:], strict=True):
             self.ids[chunk] = np.array(encoded.ids, "<u4").tobytes()
+        ids = np.array(found[0].ids, "<u4")
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(c.encode()) for c in led])
+        stops = np.searchsorted(ends, wanted)
+        if not np.array_equal(ends[stops], wanted):
+            raise ValueError("the vocabulary is not byte-level, or its pattern joins words")
+        raw, at = ids.tobytes(), 0
+        for chunk, stop in zip(led, ((stops + 1) * 4).tolist(), strict=True):
+            self.ids[chunk] = raw[at:stop]
+            at = stop
 
 
 def _cut(shared, longest: int, end: int, with_ids: bool):
@@ -69,7 +95,7 @@ def _cut(shared, longest: int, end: int, with_ids: bool):
                 words.learn(set(chain.from_iterable(block)))
                 known = words.ids
                 for chunks in block:
-                    ids = b"".join([known[c] for c in chunks]) + closing
+                    ids = b"".join(map(known.__getitem__, chunks)) + closing
                     key, count = next(keys), len(ids) // 4
                     for start, length in pieces(count, longest):
                         part = ids[start * 4 : (start + length) * 4]
