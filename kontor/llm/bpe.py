@@ -199,14 +199,16 @@ def chunks_of(text: str) -> list[str]:
     return chunks if chunks[0] else chunks[1:]
 
 
-def in_blocks(texts: list[str | None]) -> Iterator[list[list[str]]]:
+def in_blocks(
+    texts: list[str | None], characters: int = _CHARACTERS
+) -> Iterator[list[list[str]]]:
     """Chunk lists of successive texts, some megabytes at a time; NULL is empty."""
     block: list[list[str]] = []
     size = 0
     for text in texts:
         block.append(chunks_of(text or ""))
         size += len(text or "")
-        if size >= _CHARACTERS:
+        if size >= characters:
             yield block
             block, size = [], 0
     if block:

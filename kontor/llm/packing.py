@@ -27,6 +27,12 @@ END = 1
 #: Chunks that a task remembers, about 0.2 KB each; forgetting only costs time.
 REMEMBERED = 600_000
 _LED = re.compile(r" \S")
+_MARKS = ".,;:!?"
+_TAIL = re.compile(f"(?<=[A-Za-z])(?=[{_MARKS}])")
+#: Stands before a part that needs a letter before it.
+_LETTER = " a"
+#: Characters of text whose chunks are looked up at once.
+_CHARACTERS = 4 << 20
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -45,8 +51,10 @@ def pieces(count: int, longest: int = LONGEST) -> list[tuple[int, int]]:
 class _Words:
     """Ids of text chunks as little-endian bytes, remembered per task.
 
-    A chunk that begins with a blank and a visible character is encoded alike wherever it stands, so
-    all new ones are encoded as one text, and the bytes of its tokens tell where each chunk ends.
+    A chunk that begins with a blank and a visible character is encoded alike wherever it stands, and
+    so is what follows a letter and begins with a punctuation mark: the pattern always cuts there. New
+    chunks are therefore cut before such marks, what is new of that is encoded as one text, and the
+    bytes of its tokens tell where each part ends.
     """
 
     def __init__(self, tokenizer: str):
@@ -64,24 +72,34 @@ class _Words:
     def learn(self, chunks: set[str]) -> None:
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
-        new = [c for c in chunks if c not in self.ids]
+        known = self.ids
+        new = [c for c in chunks if c not in known]
+        parts = {c: p for c in new if len(p := _TAIL.split(c)) > 1}
+        wanted = {p for c in new for p in parts.get(c, (c,)) if p not in known}
         led: list[str] = []
         first: list[str] = []
-        for chunk in new:
-            (led if _LED.match(chunk) else first).append(chunk)
+        for part in wanted:
+            if _LED.match(part):
+                led.append(part)
+            elif part[0] in _MARKS:
+                led += (_LETTER, part)
+            else:
+                first.append(part)
         found = self.tokenizer.encode_batch_fast(["".join(led), *first], add_special_tokens=False)
-        for chunk, encoded in zip(first, found[1:], strict=True):
-            self.ids[chunk] = np.array(encoded.ids, "<u4").tobytes()
+        for part, encoded in zip(first, found[1:], strict=True):
+            known[part] = np.array(encoded.ids, "<u4").tobytes()
         ids = np.array(found[0].ids, "<u4")
         ends = np.cumsum(self.sizes[ids])
-        wanted = np.cumsum([len(c.encode()) for c in led])
-        stops = np.searchsorted(ends, wanted)
-        if not np.array_equal(ends[stops], wanted):
+        sizes = np.cumsum([len(c.encode()) for c in led])
+        stops = np.searchsorted(ends, sizes)
+        if not np.array_equal(ends[stops], sizes):
             raise ValueError("the vocabulary is not byte-level, or its pattern joins words")
         raw, at = ids.tobytes(), 0
-        for chunk, stop in zip(led, ((stops + 1) * 4).tolist(), strict=True):
-            self.ids[chunk] = raw[at:stop]
+        for part, stop in zip(led, ((stops + 1) * 4).tolist(), strict=True):
+            known[part] = raw[at:stop]
             at = stop
+        for chunk, split in parts.items():
+            known[chunk] = b"".join([known[p] for p in split])
 
 
 def _cut(shared, longest: int, end: int, with_ids: bool):
@@ -91,7 +109,7 @@ def _cut(shared, longest: int, end: int, with_ids: bool):
         for batch in batches:
             out: list[tuple] = []
             keys = iter(batch.column("doc_id").to_pylist())
-            for block in in_blocks(batch.column("text").to_pylist()):
+            for block in in_blocks(batch.column("text").to_pylist(), _CHARACTERS):
                 words.learn(set(chain.from_iterable(block)))
                 known = words.ids
                 for chunks in block:

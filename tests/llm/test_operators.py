@@ -263,6 +263,8 @@ def odd_texts():
     letters = "ab \n\t'sé1. \x1c\x85　"
     texts = ["".join(random.choice(letters) for _ in range(50)) for _ in range(100)]
     texts += ["x" * 3000 + " " * 400 + "\n" * 300 + "don't I'll", " lead", "trail ", "<|endoftext|>"]
+    texts += ["".join(random.choice("aZé1 .,'!\n_;s") for _ in range(60)) for _ in range(200)]
+    texts += [".start", "..a", "a.b!c'll. 's.", " a ", ". a. a"]
     texts += ["".join(random.choice("abcdefg") for _ in range(n)) for n in (255, 256, 257, 900)]
     return [*ODD, *[(1000 + i, t) for i, t in enumerate(texts)], ODD[3]]
 
