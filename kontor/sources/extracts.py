@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,33 @@ def load_raw(extract: DataFrame, raw_folder: str, name: str, load_id: str, mode:
     rows.write.mode("overwrite" if mode == "replace" else "append").parquet(f"{raw_folder}/{name}")
 
 
+def load_extracts(
+    spark: SparkSession, folder: str, raw_folder: str, load_id: str, mode: str = "append"
+) -> None:
+    """Load all extracts of a folder under one load id, an ISO date or time.
+
+    The latest load wins per key, so an id below one that a table already holds is refused before
+    anything is written. The same id again is a repeated load, which keep-latest folds.
+    """
+    if mode == "append":
+        for name in EXTRACTS:
+            if _holds_later(spark, raw_folder, name, load_id):
+                raise ValueError(f"{name} already holds a load later than {load_id!r}")
+    for name in EXTRACTS:
+        load_raw(read_extract(spark, folder, name), raw_folder, name, load_id, mode)
+
+
+def _holds_later(spark: SparkSession, raw_folder: str, name: str, load_id: str) -> bool:
+    """Whether a later load is there; the statistics of the files answer for those that are older."""
+    try:
+        raw = read_raw(spark, raw_folder, name)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not raw.where(F.col("load_id") > load_id).isEmpty()
+
+
 def read_raw(spark: SparkSession, raw_folder: str, name: str) -> DataFrame:
     """A raw table with its load metadata."""
     return spark.read.schema(RAW[name]).parquet(f"{raw_folder}/{name}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -21,12 +22,15 @@ def follow_extracts(
 ) -> StreamingQuery:
     """Append the extract files that arrived since the last call to the raw table, then refresh.
 
-    A micro-batch that is replayed after a failure appends rows with the same load and row id, which
-    keep-latest folds, and the upsert behind ``refresh`` gives the same table again.
+    The load id is the UTC time of the load in ISO form, so it stands above every dated load before it,
+    whatever the checkpoint counts. A micro-batch that is replayed after a failure appends the same
+    rows under a later id, which keep-latest folds, and the upsert behind ``refresh`` gives the same
+    table again.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_raw(batch, raw_folder, name, f"{epoch:012d}", "append")
+        now = datetime.now(UTC).isoformat(timespec="microseconds")
+        load_raw(batch, raw_folder, name, now, "append")
         refresh()
 
     return (

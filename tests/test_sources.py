@@ -7,7 +7,14 @@ from frames import order, raw_frame, shop
 from kontor import session
 from kontor.plans import staging
 from kontor.schemas import EXTRACTS, RAW
-from kontor.sources.extracts import load_raw, read_extract, read_raw, stored_raw, with_load_metadata
+from kontor.sources.extracts import (
+    load_extracts,
+    load_raw,
+    read_extract,
+    read_raw,
+    stored_raw,
+    with_load_metadata,
+)
 from kontor.sources.fx import flatten_fx, fx_date_range, fx_payload, read_fx_payload
 from kontor.sources.shop_tables import ShopTables
 
@@ -50,6 +57,19 @@ def test_extract_scan(spark, tmp_path):
     assert got.schema == EXTRACTS["orders"] and got.count() == 2
 
 
+def test_all_extracts_share_one_increasing_load_id(spark, tmp_path):
+    inbox, raw = str(tmp_path / "in"), str(tmp_path / "raw")
+    for name, df in vars(shop(spark, orders=[order("O1")])).items():
+        df.select(*EXTRACTS[name].names).write.parquet(f"{inbox}/{name}.parquet")
+    for load_id in ("2024-03-05", "2024-03-05", "2024-03-06"):
+        load_extracts(spark, inbox, raw, load_id)
+    with pytest.raises(ValueError, match="later than '2024-03-04'"):
+        load_extracts(spark, inbox, raw, "2024-03-04")
+    loads = [r["load_id"] for r in read_raw(spark, raw, "orders").collect()]
+    assert sorted(loads) == ["2024-03-05", "2024-03-05", "2024-03-06"]
+    assert staging.stg_orders(stored_raw(spark, raw).orders).count() == 1
+
+
 def test_stored_raw(spark, tmp_path):
     for name, df in vars(shop(spark, orders=[order("O1")])).items():
         df.write.parquet(str(tmp_path / name))

@@ -80,3 +80,5 @@ def test_extracts_that_arrive_later_are_appended_and_refresh(spark, tmp_path):
         rows = warehouse.order_lines.current().collect()
         seen.append({r["order_line_id"]: r["order_shipping_amount_eur"] for r in rows})
     assert seen == [{"a": 1.0}, {"a": 2.0, "b": 0.0}]
+    loads = {r["load_id"] for r in stored_raw(spark, raw_folder).orders.collect()}
+    assert len(loads) == 2 and min(loads) > "2024-03-05"
