@@ -10,7 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm.language import UNKNOWN, held_out, learn_profiles, with_language
+from kontor.llm.language import (
+    UNKNOWN,
+    evened,
+    held_out,
+    learn_profiles,
+    least_scores,
+    with_language,
+)
 from kontor.llm.minhash import one_per_group
 from kontor.llm.packing import pack
 from kontor.llm.rows import prepared, table
@@ -18,17 +25,26 @@ from kontor.llm.secrets import redacted
 from kontor.llm.suffix_dedup import remove_repeats
 from kontor.session import materialise
 
-#: A text that is farther than this from every learned language is in none of them. Texts of the
-#: learned languages score 0.35 and more, even short ones and noisy ones.
+#: No text below this is in a learned language, however short it is: other scripts, keyboard noise.
+#: The cut that tells languages apart is learned, one for each of them.
 LEAST_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; texts without letters and foreign ones go."""
+    """Documents in one of the learned languages; texts without letters and foreign ones go.
+
+    A text is foreign if it scores below the labelled texts of its nearest language (``least_scores``).
+    A few foreign words score like a short clean text and stay.
+    """
     prepared(spark)
-    profiles = learn_profiles(docs.where(~held_out("doc_id")))
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return with_language(docs, profiles).where(known).select(*docs.columns)
+    learned_from = ~held_out("doc_id")
+    profiles = learn_profiles(docs.where(learned_from))
+    judged = materialise(with_language(docs, profiles), "judged-documents")
+    least = F.lit(0.0)
+    for lang, score in least_scores(judged.where(learned_from & F.col("lang").isNotNull())).items():
+        least = F.when(F.col("lang_pred") == lang, score).otherwise(least)
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE) & (evened() >= least)
+    return judged.where(known).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,12 @@ from kontor.llm.rows import table
 PROFILE = 300
 UNKNOWN = "und"
 FOLDS = 5
+#: How far a text may lie below the lowest labelled one of its language, if its profile is full.
+MARGIN = 0.05
+#: Labelled texts so far below the next one do not speak for their language if they are outliers.
+GAP = 0.08
+#: Steps of scores in which labelled rows are counted.
+_STEPS = 1000
 #: Distinct n-grams that a task gathers before it passes their counts on.
 _GATHERED = 1 << 21
 _MARK = 1
@@ -131,9 +137,13 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, 1 - distance / largest possible distance)."""
+        return self.judged(text)[:2]
+
+    def judged(self, text: str | None) -> tuple[str, float, int]:
+        """(language, score, number of distinct n-grams that the score rests on)."""
         codes = grams(text, self.letters) if text else ()
         if len(codes) == 0 or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         found, counts = np.unique(codes, return_counts=True)
         own = found[np.lexsort((found, -counts))[: self.size]]
         at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
@@ -141,7 +151,7 @@ class Classifier:
         apart = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(own))))
         total = apart.sum(axis=1)
         best = int(total.argmin())
-        return self.langs[best], float(1 - total[best] / (self.size * len(own)))
+        return self.langs[best], float(1 - total[best] / (self.size * len(own))), len(own)
 
 
 _PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -187,21 +197,60 @@ def identify(
 def with_language(
     docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE
 ) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; the text stays. Such columns are replaced."""
-    docs = docs.drop("lang_pred", "score")
+    """``docs`` with ``lang_pred``, ``score`` and ``n_grams``; the text stays. Such columns are replaced.
+
+    ``n_grams`` counts the distinct n-grams that the score rests on, ``size`` at most.
+    """
+    docs = docs.drop("lang_pred", "score", "n_grams")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(profiles, size)
         for batch in batches:
-            found = [classifier.predict(t) for t in batch.column(text).to_pylist()]
+            found = [classifier.judged(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
+                 pa.array([f[1] for f in found], pa.float64()),
+                 pa.array([f[2] for f in found], pa.int64())],
+                [*batch.schema.names, "lang_pred", "score", "n_grams"],
             )
 
-    return docs.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(predict, f"{fields}, lang_pred string, score double, n_grams long")
+
+
+def evened(size: int = PROFILE) -> Column:
+    """The score of a judged row, raised the more the fewer n-grams it rests on; 1 at most.
+
+    A text of ``size`` n-grams keeps its score. With half of them it gets one ``MARGIN``, with a tenth
+    nine: chance moves the scores of short texts, and too little of them is seen to call them foreign.
+    """
+    raised = F.col("score") + MARGIN * (size / F.greatest("n_grams", F.lit(1)) - 1)
+    return F.least(raised, F.lit(1.0))
+
+
+def least_scores(labelled: DataFrame, size: int = PROFILE) -> dict[str, float]:
+    """Per predicted language, the evened score from which on a text counts as one in it.
+
+    That is ``MARGIN`` below the lowest of the ``labelled`` rows, judged by ``with_language``. Some texts
+    with a wrong label must not open a language to foreign ones: outliers (1.5 interquartile ranges
+    below the lower quartile) that stand more than ``GAP`` below the next row do not count, nor
+    does what is below them. Rows are counted by steps of their scores, rounded down: a fixed number
+    of counts for each language reaches the driver.
+    """
+    step = F.floor(evened(size) * _STEPS).cast("long").alias("step")
+    counted = labelled.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred", step).count()
+    steps: dict[str, list[tuple[int, int]]] = {}
+    for row in counted.orderBy("lang_pred", "step").collect():
+        steps.setdefault(row["lang_pred"], []).append((row["step"], row["count"]))
+    least = {}
+    for lang, pairs in steps.items():
+        at, number = np.array(pairs).T
+        upto = np.cumsum(number)
+        low, high = at[np.searchsorted(upto, upto[-1] * np.array([0.25, 0.75]))]
+        alone = (np.diff(at) > GAP * _STEPS) & (at[:-1] < low - 1.5 * (high - low))
+        lowest = at[np.flatnonzero(alone)[-1] + 1] if alone.any() else at[0]
+        least[lang] = float(lowest / _STEPS - MARGIN)
+    return least
 
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:

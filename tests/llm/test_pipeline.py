@@ -1,6 +1,7 @@
 """The stages on a small corpus, each against a plain version on its own input."""
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 from test_operators import grouped, without_repeats
 
@@ -37,3 +38,40 @@ def test_stages(spark):
             assert docs.groupBy("doc_id").agg(
                 F.sum("length").alias("n"), F.max("doc_tokens").alias("m")
             ).where("n != m").isEmpty()
+
+
+FOREIGN = [
+    "La mattina dopo il sindaco annunciò che la strada principale sarebbe rimasta chiusa per tutta "
+    "la settimana a causa dei lavori.",
+    "De volgende ochtend kondigde de burgemeester aan dat de hoofdstraat de hele week gesloten zou "
+    "blijven vanwege werkzaamheden.",
+    "Następnego ranka burmistrz ogłosił, że główna ulica będzie zamknięta przez cały tydzień z powodu "
+    "robót drogowych.",
+    "Seuraavana aamuna pormestari ilmoitti, että pääkatu olisi suljettuna koko viikon tietöiden "
+    "vuoksi.",
+    "Ertesi sabah belediye başkanı ana caddenin yol çalışmaları nedeniyle bütün hafta kapalı "
+    "kalacağını duyurdu.",
+    "A doua zi dimineața primarul a anunțat că strada principală va fi închisă toată săptămâna din "
+    "cauza lucrărilor.",
+    "Доброе утро, главная улица сегодня закрыта.",
+]
+SHORT = ["Good morning.", "Das Haus ist alt.", "Buenos días.", "La maison est vieille.", "Yes",
+         "Bonjour.", "No tengo tiempo.", "Thank you very much for your help."]
+
+
+@pytest.mark.parametrize("label", [None, "en"])
+def test_language_rejects_foreign_texts_and_keeps_short_ones(spark, label):
+    """Foreign texts go, also where a few carry the label of a learned language."""
+    prepared(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = dict(enumerate(FOREIGN + SHORT, start=-100))
+    lang = F.lit(label).cast("string")
+    extra = spark.createDataFrame(list(texts.items()), "doc_id long, text string").select(
+        "doc_id", "text", lang.alias("lang"), F.lit("x/y").alias("source"),
+        F.length("text").cast("long").alias("n_chars"),
+    )
+    kept = corpus_pipeline.language(spark, docs.unionByName(extra), "")
+    assert kept.columns == docs.columns
+    assert {r.text for r in kept.where("doc_id < 0").collect()} == set(SHORT)
+    letters = docs.where(r"text rlike '\\p{L}'")
+    assert kept.where("doc_id >= 0").count() == letters.count()
