@@ -5,8 +5,8 @@ extracting gives the matches, so a running sum over both lengths gives every sta
 hold a match are unfolded, and only numbers and matched values are shuffled, never texts.
 
 Ownership: each candidate value is hashed and counted over the corpus by distinct repositories and by
-distinct owners. A value that several owners have is a widely copied example; a value that one owner
-keeps looks live. Hot values are aggregated where they are read.
+distinct owners. A value that ``EXAMPLE_OWNERS`` owners have is a widely copied example; a value that
+fewer keep looks live, whatever its kind. Hot values are aggregated where they are read.
 """
 
 from __future__ import annotations
@@ -88,8 +88,8 @@ def scan(
     """The candidate spans of all texts: row key, kind, start, end, value, owners, live.
 
     ``live`` is true where fewer than ``EXAMPLE_OWNERS`` owners have the value. The kind ``owned`` is
-    added by the ownership rule: long mixed strings outside every base span whose value one owner
-    alone has. A NULL repository counts as one of its own, without an owner. NULL and empty texts have
+    added by the ownership rule: long mixed strings outside every base span whose value is live in the
+    same sense, so that a mirror of a repository hides nothing. A NULL repository counts as one of its own, without an owner. NULL and empty texts have
     no spans; repeated rows have the same spans, listed once per row key.
     """
     name = F.coalesce(F.col(repository).cast("string"), F.lit(""))
@@ -117,7 +117,7 @@ def scan(
     )
     known = spans.withColumn("h", F.xxhash64("v1", "v2")).join(owners, ["v1", "v2", "h"])
     live = F.col("owners") < EXAMPLE_OWNERS
-    return known.where((F.col("kind") != "owned") | (F.col("owners") == 1)).select(
+    return known.where((F.col("kind") != "owned") | live).select(
         *KEY, "kind", "place", "start", "end", "value", "repositories", "owners", live.alias("live")
     )
 

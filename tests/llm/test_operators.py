@@ -466,6 +466,17 @@ def test_ownership_and_redaction(spark):
     assert clean[11] is None
 
 
+def test_a_string_that_two_owners_hold_is_live(spark):
+    both, many = "qJ7xY2mN9pL4kR8sT1vW", "zD5cF8gH1jK4lM7nP0rS"
+    rows = [(i, f"see {both} ok", f"owner{i}/repo") for i in range(2)]
+    rows += [(10 + i, f"see {many} ok", f"owner{i}/repo") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {(r.kind, r.value, r.live) for r in secrets.scan(df).collect()} == {("owned", both, True)}
+    clean = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert clean[0] == clean[1] == "see <secret> ok"
+    assert clean[10] == f"see {many} ok"
+
+
 # Empty tables
 
 
