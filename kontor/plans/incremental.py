@@ -27,6 +27,10 @@ from kontor.session import materialise
 from kontor.sources.tables import SlicedTable
 
 
+#: Per slicing column, the columns whose windows lie in its own slices: itself and its date.
+SLICED_ALIKE = {"order_date_utc": {"order_date_utc", "order_date"}, "placed_at": {"placed_at"}}
+
+
 def order_lines_table(spark, path: str, grain: str = "month") -> SlicedTable:
     return SlicedTable(spark, path, FCT_ORDER_LINES, "order_date_utc", grain)
 
@@ -143,7 +147,8 @@ def _backfill(
             f"a lookback of {lookback_days} days begins at {since} and does not reach {start}: "
             "the deleted window would stay empty"
         )
-    delete_between(table, column, start, end, sliced_alike=True)
+    alike = column in SLICED_ALIKE.get(table.slice_by, ())
+    delete_between(table, column, start, end, sliced_alike=alike)
     refresh(since)
 
 
@@ -160,7 +165,10 @@ def backfill_order_lines(
 def backfill_order_fulfilment(
     table: SlicedTable, raw, start: str, end: str, lookback_days: int, column: str = "placed_at"
 ) -> None:
-    """Reprocess the orders placed in a window. What concerns them was recorded after its start."""
+    """Reprocess the orders placed in a window. What concerns them was recorded after its start.
+
+    With another ``column``, such as ``refunded_at``, the window is looked for in all slices.
+    """
     _backfill(
         table, start, end, lookback_days, column, "last_recorded_at",
         lambda since: upsert(table, order_fulfilment_batch(raw, since), "order_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kontor.operators.upsert import delete_between, upsert, watermark
 from kontor.plans.incremental import (
+    backfill_order_fulfilment,
     backfill_order_lines,
     build_order_fulfilment,
     build_order_lines,
@@ -203,6 +204,18 @@ def test_event_recorded_before_the_lookback_is_missed(spark, tmp_path):
     assert as_dict(table.current(), "order_id", "shipped_at")["old"] == datetime(2024, 1, 2)
 
 
+def test_backfill_by_another_date_looks_at_all_slices(spark, tmp_path):
+    """Shipped in February, sliced by January: gone upstream, so the window's row goes too."""
+    table = order_fulfilment_table(spark, str(tmp_path / "f"))
+    refresh_order_fulfilment(
+        table, shop(spark, BASE, shipments=[shipped("2024-02-10", "2024-02-10")])
+    )
+    backfill_order_fulfilment(
+        table, shop(spark, BASE[1:]), "2024-02-01", "2024-02-28", 100, column="shipped_at"
+    )
+    assert as_dict(table.current(), "order_id", "shipped_at") == {"new": None}
+
+
 def test_incremental_equals_full_when_nothing_is_late(spark, tmp_path, folder):
     from __spark_entry__ import _loaded
     from kontor.functions import timestamp_literal, utc_naive
