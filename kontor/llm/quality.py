@@ -1,4 +1,7 @@
-"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
+"""Quality classifier: a factorisation machine over hashed words and structure statistics.
+
+No metadata is a feature. Language, source and id may not be, and what is left, the number of
+characters, says no more than the length of the text, which is among the statistics.
 
 The score is a logistic function of a linear part and all pairwise interactions of the features, each
 pair weighted by the product of two short vectors. The sum over pairs is half of the difference
