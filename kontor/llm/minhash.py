@@ -286,11 +286,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     candidates = materialise(
         stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct(), "candidates"
     )
+    wanted = source.select("doc_id", *KEY, "text").join(sized(candidates), "doc_id", "left_semi")
+    # One set for each row key: rows repeated m and n times would link m * n times. Only texts of
+    # repeated rows are shuffled.
+    again = sized(
+        materialise(
+            sketches.where("n > 0 and doc_id is not null")
+            .groupBy(*KEY).count().where("count > 1").select(*KEY),
+            "repeated-rows",
+        )
+    )
+    once = wanted.join(again, KEY, "left_anti").unionByName(
+        wanted.join(again, KEY, "left_semi").dropDuplicates(KEY)
+    )
     full = materialise(
-        source.select("doc_id", "text").join(sized(candidates), "doc_id", "left_semi")
-        .mapInArrow(_full, "rep long, sketch binary, hashes binary"),
+        once.select("doc_id", "text").mapInArrow(_full, "rep long, sketch binary, hashes binary"),
         "full-sets",
-    )
+    )
     links = _confirmed(first, full, "links")
     roots = materialise(components(links), "roots")
 

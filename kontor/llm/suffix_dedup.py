@@ -368,7 +368,8 @@ def _ranges(docs: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
         .select(*KEY, "start", "wins")
     )
     inside = sorted_out.where("w1 is null").select(*KEY, "start", "wins")
-    return whole.unionByName(inside).unionByName(matched), texts
+    # A row that is repeated in the input brings its ranges each time; they are the same ones.
+    return whole.unionByName(inside).unionByName(matched).distinct(), texts
 
 
 def remove_repeats(

@@ -120,6 +120,13 @@ def test_repeats_of_the_registered_query(spark):
     assert rows_of(got, *got.columns) == without_repeats(sample(), 400)
 
 
+def test_repeated_rows_have_their_ranges_once(spark):
+    rows = [(1, "abcdefgh" * 20), *[(2, "ijklmnop" * 20)] * 20, (3, "ijklmnop" * 9 + "q" * 40)]
+    df = spark.createDataFrame(rows, DOCS)
+    ranges, _ = suffix_dedup._ranges(df.select(*suffix_dedup.row_key("doc_id", "text"), "text"), 30)
+    assert ranges.count() == ranges.distinct().count()
+
+
 # Near-duplicates
 
 
@@ -180,6 +187,19 @@ def test_near_duplicates_of_the_registered_query(spark):
     assert rows_of(df, *df.columns) == grouped(sample())
 
 
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    words = [f"word{i}" for i in range(120)]
+    one, other = " ".join(words), " ".join([*words[:-1], "end"])
+    seen, confirmed = [], minhash._confirmed
+    monkeypatch.setattr(
+        minhash, "_confirmed", lambda a, full, n: seen.append(full.count()) or confirmed(a, full, n)
+    )
+    docs = spark.createDataFrame([(1, one)] * 7 + [(2, other)] * 5, DOCS)
+    got = rows_of(minhash.near_duplicates(docs), "doc_id", "component_id", "kept")
+    assert got == [(1, 1, True)] * 7 + [(2, 1, False)] * 5
+    assert set(seen) == {2}
+
+
 def test_estimate_follows_the_similarity():
     random.seed(9)
     words = [str(random.random()) for _ in range(400)]
