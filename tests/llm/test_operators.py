@@ -432,6 +432,15 @@ def test_graph_search_recall(spark, monkeypatch):
     assert {r.query_id for r in got} == {k for k in known if k % 100 == 0} - {900}
 
 
+def test_graph_search_keeps_doubles(spark):
+    near = [1.0 + i * 1e-12 for i in range(4)]
+    rows = [(i, [x, 0.0]) for i, x in enumerate(near)] + [(9, [1e39, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = graph_search.search_graph(df, df.where("vec_id = 0")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 9]
+    assert [r.score for r in got] == [abs(dict(rows)[r.vec_id][0] - 1.0) for r in got]
+
+
 # Secrets
 
 PATTERNS = {
