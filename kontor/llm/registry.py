@@ -5,6 +5,9 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 from kontor.llm.bpe import op9_bpe
+from kontor.llm.collocations import OP13_SQL, op13_collocations
+from kontor.llm.decontamination import OP12_SQL, op12_decontamination
+from kontor.llm.fill_in_middle import OP11_SQL, op11_fill_in_middle
 from kontor.llm.graph_search import op10_graph
 from kontor.llm.hamming import OP7_SQL, op7_hamming
 from kontor.llm.language import op3_language
@@ -28,9 +31,17 @@ QUERIES = {
         op8_secrets,
         op9_bpe,
         op10_graph,
+        op11_fill_in_middle,
+        op12_decontamination,
+        op13_collocations,
     )
 }
-SQL: dict[str, str] = {"op7_hamming": OP7_SQL}
+SQL: dict[str, str] = {
+    "op7_hamming": OP7_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_decontamination": OP12_SQL,
+    "op13_collocations": OP13_SQL,
+}
 
 
 def with_pipeline(pipeline) -> SimpleNamespace:
