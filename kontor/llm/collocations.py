@@ -363,7 +363,11 @@ def collocations(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    frequent = phrase_counts(rows, longest, least)
+    return ranked(phrase_counts(rows, longest, least), covered, top)
+
+
+def ranked(frequent: DataFrame, covered: int, top: int) -> DataFrame:
+    """The collocations among counted phrases, each language's best ones in order."""
     candidates = frequent.where("size > 1")
     names = F.split("phrase", " ")
     # Every phrase inside a longer candidate, with the count of the most frequent such one.
@@ -393,11 +397,9 @@ def collocations(
         .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     )
     best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best).cast("long")).where(
-        F.col("rank") <= top
-    )
+    placed = scored.withColumn("rank", F.row_number().over(best).cast("long"))
     total = frequent.where("size = 0").select("lang", F.col("f").alias("n"))
-    return ranked.join(total, "lang").select(
+    return placed.where(F.col("rank") <= top).join(total, "lang").select(
         "lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"
     )
 
