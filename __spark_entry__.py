@@ -16,7 +16,13 @@ sys.path[:0] = [str(Path(__file__).resolve().parent)]
 
 import oracle_queries
 from kontor.functions import money_sum, month_start, timestamp_literal, utc_naive
-from kontor.operators.checks import duplicated, missing, orphans, out_of_range
+from kontor.operators.checks import (
+    duplicated,
+    missing,
+    orphans,
+    out_of_range,
+    row_count_outside,
+)
 from kontor.operators.scd2 import as_of_join, first_snapshot, snapshot
 from kontor.plans import calendar, metrics, quality, staging
 from kontor.plans.dimensions import dim_customer, dim_product
@@ -33,13 +39,21 @@ from kontor.plans.incremental import (
 )
 from kontor.plans.warehouse import (
     CHECK_COLUMNS,
+    Warehouse,
     customer_history_table,
     materialise_staging,
     refresh_customer_history,
     register_views,
 )
 from kontor.session import configure, materialise, scratch_path
-from kontor.sources.extracts import load_raw, read_holiday_seed, read_raw, write_seed
+from kontor.sources.extracts import (
+    load_extracts,
+    load_raw,
+    read_holiday_seed,
+    read_raw,
+    stored_raw,
+    write_seed,
+)
 from kontor.sources.fx import fx_date_range, fx_payload, flatten_fx, read_fx_payload
 from kontor.sources.shop_tables import TABLES, ShopTables, raw_customers
 
@@ -52,6 +66,8 @@ CUTOFF = datetime(2001, 1, 1)
 BACKFILL = ("1998-01-01", "1998-03-31")
 BACKFILL_LOOKBACK_DAYS = 1500
 WHOLE_TABLE_DAYS = 5000
+#: The check suite with bounds for tables of any size.
+ANY_SIZE = quality.Bounds((0, 10**15), (1, 5), (-1e12, 1e12), (-1e15, 1e15))
 
 
 def _raw(spark: SparkSession, folder: str) -> ShopTables:
@@ -127,6 +143,27 @@ def _reloaded_customers(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_customers(read_raw(spark, raw_folder, "customers"))
 
 
+def _loads_of_extracts(spark: SparkSession, folder: str):
+    """The raw layer after two loads of extract folders: everything, and then corrected orders."""
+    raw, raw_folder = _raw(spark, folder), scratch_path(spark, "raw")
+    corrected = F.col("load_id") == "2"
+    for number, correction in (("1", False), ("2", True)):
+        inbox = scratch_path(spark, f"extracts-{number}")
+        for name in TABLES:
+            rows = getattr(raw, name)
+            if name == "orders":
+                rows = rows.where(corrected if correction else ~corrected)
+            elif correction:
+                rows = rows.limit(0)
+            rows.drop("load_id", "row_id").write.parquet(f"{inbox}/{name}.parquet")
+        load_extracts(spark, inbox, raw_folder, number)
+    return stored_raw(spark, raw_folder)
+
+
+def _order_fulfilment_from_extracts(spark: SparkSession, folder: str) -> DataFrame:
+    return build_order_fulfilment(_loads_of_extracts(spark, folder))
+
+
 def _loaded(spark: SparkSession, folder: str, *names: str) -> SimpleNamespace:
     """Some raw tables as written files, which is how repeated runs meet them."""
     raw = _raw(spark, folder)
@@ -179,6 +216,50 @@ def _order_fulfilment_backfill(spark: SparkSession, folder: str) -> DataFrame:
     return table.current()
 
 
+def _two_nights(spark: SparkSession, folder: str, spoil=None) -> Warehouse:
+    """A warehouse after a night that saw what was known at the cutoff and one that saw everything.
+
+    ``spoil`` changes what the second night finds; its audit may then fail.
+    """
+    raw = _loaded(spark, folder, *TABLES)
+    first = _raw_at_cutoff(raw)
+    first.order_lines = raw.order_lines.join(first.orders.select("order_id"), "order_id", "left_semi")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.run(first, FIRST_SNAPSHOT, bounds=ANY_SIZE)
+    if spoil is None:
+        warehouse.run(raw, SECOND_SNAPSHOT, bounds=ANY_SIZE)
+    else:
+        try:
+            warehouse.run(spoil(raw), SECOND_SNAPSHOT, bounds=ANY_SIZE)
+        except quality.AuditFailed:
+            return warehouse
+        raise ValueError("the audit let spoilt rows pass")
+    return warehouse
+
+
+def _daily_revenue_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up after two nights, of which the second touched the days it had to."""
+    return _two_nights(spark, folder).marts()["agg_daily_revenue"]
+
+
+def _negated(raw: SimpleNamespace) -> SimpleNamespace:
+    """Lines of every seventh order with their quantity negated."""
+    quantity = F.when(_spoilt(7), -F.col("quantity")).otherwise(F.col("quantity"))
+    return SimpleNamespace(
+        **{**vars(raw), "order_lines": raw.order_lines.withColumn("quantity", quantity)}
+    )
+
+
+def _daily_revenue_after_failed_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What the first night published: the second one's audit finds quantities below zero."""
+    return _two_nights(spark, folder, _negated).marts()["agg_daily_revenue"]
+
+
+def _line_count_out_of_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The row count, because it breaks a bound that is far too low."""
+    return row_count_outside(_order_lines(spark, folder), 1, 100)
+
+
 def _customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     extracts = [
         staging.stg_customers(raw_customers(configure(spark), folder, extract))
@@ -362,10 +443,15 @@ def entry(spark: SparkSession) -> DataFrame:
 def _pipeline_operators():
     """The registry of the training-data operators, or None where that subpackage is left out."""
     try:
-        import corpus_pipeline
-        from kontor.llm import registry
-    except ImportError:
+        import kontor.llm
+    except ModuleNotFoundError as error:
+        # Only that subpackage may be missing; a library that it lacks is an error.
+        if error.name != "kontor.llm":
+            raise
         return None
+    import corpus_pipeline
+    from kontor.llm import registry
+
     return registry.with_pipeline(corpus_pipeline)
 
 
@@ -399,11 +485,17 @@ def shop_queries() -> dict[str, Query]:
         "fulfilment_by_status": _on_fulfilment(metrics.fulfilment_by_status),
         "category_aov": _on_lines_and_products(metrics.category_aov),
         "category_month_pivot": _on_lines_and_products(metrics.category_month_pivot),
+        "category_growth": _on_lines_and_products(metrics.category_growth),
+        "active_customers": _on_lines(metrics.active_customers),
+        "order_count_rollup": _on_lines_and_products(metrics.order_count_rollup),
         "sql_category_revenue": _sql_category_revenue,
+        "fct_order_fulfilment_from_extracts": _order_fulfilment_from_extracts,
         "fct_order_lines_incremental": _order_lines_incremental,
         "fct_order_fulfilment_incremental": _order_fulfilment_incremental,
         "fct_order_lines_backfill": _order_lines_backfill,
         "fct_order_fulfilment_backfill": _order_fulfilment_backfill,
+        "agg_daily_revenue_incremental": _daily_revenue_incremental,
+        "agg_daily_revenue_after_failed_audit": _daily_revenue_after_failed_audit,
         "dim_customer_scd2": _customer_versions,
         "dim_customer_stored": _stored_customer_versions,
         "orders_customer_as_of": _orders_customer_as_of,
@@ -414,6 +506,7 @@ def shop_queries() -> dict[str, Query]:
         "dq_lines_without_revenue": _lines_without_revenue,
         "dq_orders_without_refund": _orders_without_refund,
         "dq_net_revenue_out_of_range": _net_revenue_out_of_range,
+        "dq_line_count_out_of_bounds": _line_count_out_of_bounds,
         "dq_excess_refunds": _excess_refunds,
         "dq_negated_quantities": _negated_quantities,
         "dq_early_deliveries": _early_deliveries,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kontor.functions import iso_lower_bound, timestamp_literal, utc_naive
 from kontor.operators.dedupe import keep_latest_among
-from kontor.operators.upsert import LOOKBACK_DAYS, delete_between, upsert, watermark
+from kontor.operators.upsert import LOOKBACK_DAYS, Change, Range, upserted, watermark
 from kontor.plans.facts import fct_order_fulfilment, fct_order_lines
 from kontor.plans.staging import (
     stg_fx_rates,
@@ -24,19 +25,25 @@ from kontor.plans.staging import (
 )
 from kontor.schemas import FCT_ORDER_FULFILMENT, FCT_ORDER_LINES
 from kontor.session import materialise
-from kontor.sources.tables import SlicedTable
+from kontor.sources.tables import Published, SlicedTable
 
 
 #: Per slicing column, the columns whose windows lie in its own slices: itself and its date.
 SLICED_ALIKE = {"order_date_utc": {"order_date_utc", "order_date"}, "placed_at": {"placed_at"}}
 
 
-def order_lines_table(spark, path: str, grain: str = "month") -> SlicedTable:
-    return SlicedTable(spark, path, FCT_ORDER_LINES, "order_date_utc", grain)
+def order_lines_table(spark, path: str, grain: str = "month", **lists) -> SlicedTable:
+    return SlicedTable(
+        spark, path, FCT_ORDER_LINES, "order_date_utc", grain,
+        key="order_line_id", tracked=("order_date_utc",), **lists,
+    )
 
 
-def order_fulfilment_table(spark, path: str, grain: str = "month") -> SlicedTable:
-    return SlicedTable(spark, path, FCT_ORDER_FULFILMENT, "placed_at", grain)
+def order_fulfilment_table(spark, path: str, grain: str = "month", **lists) -> SlicedTable:
+    return SlicedTable(
+        spark, path, FCT_ORDER_FULFILMENT, "placed_at", grain,
+        key="order_id", tracked=("last_recorded_at",), **lists,
+    )
 
 
 def _recorded_since(raw: DataFrame, text_column: str, since: datetime) -> DataFrame:
@@ -98,10 +105,13 @@ def order_fulfilment_batch(raw, since: datetime) -> DataFrame:
 
 
 def build_order_lines(raw) -> DataFrame:
-    """The whole fact from the raw layer."""
-    return fct_order_lines(
-        stg_order_lines(raw.order_lines), stg_orders(raw.orders), stg_fx_rates(raw.fx_rates)
-    )
+    """The whole fact from the raw layer.
+
+    The fact reads its lines twice, for the orders' totals and for themselves. They are deduplicated
+    once and written; both reads are scans of that.
+    """
+    lines = materialise(stg_order_lines(raw.order_lines), "staged-lines")
+    return fct_order_lines(lines, stg_orders(raw.orders), stg_fx_rates(raw.fx_rates))
 
 
 def build_order_fulfilment(raw) -> DataFrame:
@@ -110,36 +120,84 @@ def build_order_fulfilment(raw) -> DataFrame:
     )
 
 
+def _prepared(
+    table: SlicedTable,
+    published: Published | None,
+    since: datetime | None,
+    build: Callable[[], DataFrame],
+    batch: Callable[[datetime], DataFrame],
+    watch: str | None,
+) -> Change:
+    """A full build when there is no table yet or a full refresh is asked, else lookback + upsert."""
+    if since is None:
+        state = table.rebuilt(build(), published)
+        return Change(state, tuple(sorted(state.slices)), rebuilt=True)
+    return upserted(table, batch(since), table.key, published, watch=watch)
+
+
+def prepare_order_lines(
+    table: SlicedTable,
+    raw,
+    lookback_days: int = LOOKBACK_DAYS,
+    full_refresh: bool = False,
+    published: Published | None = None,
+) -> Change:
+    """The next state of the lines, written and not published; watches the days that it changes."""
+    published = published or table.published()
+    since = None
+    if published and not full_refresh:
+        since = watermark(table, "order_date_utc", lookback_days, published)
+    return _prepared(
+        table, published, since, lambda: build_order_lines(raw),
+        lambda after: order_lines_batch(raw, after), "order_date",
+    )
+
+
+def prepare_order_fulfilment(
+    table: SlicedTable,
+    raw,
+    lookback_days: int = LOOKBACK_DAYS,
+    full_refresh: bool = False,
+    published: Published | None = None,
+) -> Change:
+    published = published or table.published()
+    since = None
+    if published and not full_refresh:
+        since = watermark(table, "last_recorded_at", lookback_days, published)
+    return _prepared(
+        table, published, since, lambda: build_order_fulfilment(raw),
+        lambda after: order_fulfilment_batch(raw, after), None,
+    )
+
+
 def refresh_order_lines(
     table: SlicedTable, raw, lookback_days: int = LOOKBACK_DAYS, full_refresh: bool = False
 ) -> None:
-    """Full build when there is no table yet or a full refresh is asked, else lookback + upsert."""
-    since = None if full_refresh else watermark(table, "order_date_utc", lookback_days)
-    if since is None:
-        # The fact reads its lines twice, so they are deduplicated once and written.
-        lines = materialise(stg_order_lines(raw.order_lines), "staged-lines")
-        table.replace_all(
-            fct_order_lines(lines, stg_orders(raw.orders), stg_fx_rates(raw.fx_rates))
-        )
-    else:
-        upsert(table, order_lines_batch(raw, since), "order_line_id")
+    """``prepare_order_lines``, published."""
+    table.publish(prepare_order_lines(table, raw, lookback_days, full_refresh).state)
 
 
 def refresh_order_fulfilment(
     table: SlicedTable, raw, lookback_days: int = LOOKBACK_DAYS, full_refresh: bool = False
 ) -> None:
-    since = None if full_refresh else watermark(table, "last_recorded_at", lookback_days)
-    if since is None:
-        table.replace_all(build_order_fulfilment(raw))
-    else:
-        upsert(table, order_fulfilment_batch(raw, since), "order_id")
+    table.publish(prepare_order_fulfilment(table, raw, lookback_days, full_refresh).state)
 
 
 def _backfill(
-    table: SlicedTable, start: str, end: str, lookback_days: int, column: str, newest: str, refresh
+    table: SlicedTable,
+    window: tuple[str, str, str],
+    lookback_days: int,
+    newest: str,
+    batch: Callable[[datetime], DataFrame],
 ) -> None:
-    """Delete a date window and reprocess it; refused while the lookback does not reach its start."""
-    since = watermark(table, newest, lookback_days)
+    """Delete a date window and reprocess it; refused while the lookback does not reach its start.
+
+    The window's rows go and the reprocessed ones come in one published step: readers see the window
+    as it was or as it is then, and a run that fails in between leaves it as it was.
+    """
+    column, start, end = window
+    published = table.published()
+    since = watermark(table, newest, lookback_days, published)
     if since is None:
         raise ValueError("there is no table to backfill")
     if since >= datetime.fromisoformat(start):
@@ -147,9 +205,8 @@ def _backfill(
             f"a lookback of {lookback_days} days begins at {since} and does not reach {start}: "
             "the deleted window would stay empty"
         )
-    alike = column in SLICED_ALIKE.get(table.slice_by, ())
-    delete_between(table, column, start, end, sliced_alike=alike)
-    refresh(since)
+    gone = Range(column, start, end, column in SLICED_ALIKE.get(table.slice_by, ()))
+    table.publish(upserted(table, batch(since), table.key, published, without=gone).state)
 
 
 def backfill_order_lines(
@@ -157,8 +214,8 @@ def backfill_order_lines(
 ) -> None:
     """Reprocess the lines of a window of order dates."""
     _backfill(
-        table, start, end, lookback_days, column, "order_date_utc",
-        lambda since: upsert(table, order_lines_batch(raw, since), "order_line_id"),
+        table, (column, start, end), lookback_days, "order_date_utc",
+        lambda since: order_lines_batch(raw, since),
     )
 
 
@@ -170,6 +227,6 @@ def backfill_order_fulfilment(
     With another ``column``, such as ``refunded_at``, the window is looked for in all slices.
     """
     _backfill(
-        table, start, end, lookback_days, column, "last_recorded_at",
-        lambda since: upsert(table, order_fulfilment_batch(raw, since), "order_id"),
+        table, (column, start, end), lookback_days, "last_recorded_at",
+        lambda since: order_fulfilment_batch(raw, since),
     )

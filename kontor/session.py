@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sweep_scratch(spark: SparkSession, age: timedelta = timedelta(days=2)) -> list[str]:
+    """Remove intermediate tables older than ``age``, which must outlast any frame that reads them."""
+    from kontor.sources.files import remove_older
+
+    folder = f"{scratch_root(spark)}/kontor"
+    return [f"{folder}/{name}" for name in remove_older(spark, folder, age)]
