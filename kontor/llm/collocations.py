@@ -34,16 +34,16 @@ SCALE = 2_000_000
 TOP = 2_000
 UNKNOWN = "und"
 #: Phrase occurrences of one summary, at most and about: bytes of text stand for the words in them.
-PARTITION_MASS = 48 << 20
+PARTITION_MASS = 24 << 20
 #: Hashes that a task gathers before it passes them on, and words it hashes at once.
-_GATHERED = 6 << 20
+_GATHERED = 3 << 20
 _TOKENS = 1 << 18
 #: Bytes of a text that are cut into words at once.
 _BLOCK = 1 << 20
 #: Bits of the filter of the second pass, as powers of two: for each survivor, and at most (16 MB).
 _SPARSE, _LEAST_BITS, _MOST_BITS = 5, 18, 27
-#: Words that a task remembers, and the bytes of such a word at most: 100 MB.
-_REMEMBERED, _SHORT = 400_000, 64
+#: Words that a task remembers, and the bytes of such a word at most: 50 MB.
+_REMEMBERED, _SHORT = 200_000, 64
 
 _STOP = b"."
 _PIECES = b".,;:!?\n\x0b\x0c\r"
@@ -199,8 +199,8 @@ def _gather(partitions: int, bits: int, longest: int):
         hashes >>= np.uint64(64 - bits)
         hashes.sort()
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        counts = np.diff(np.append(first, len(hashes)))
-        hashes = hashes[first]
+        counts, hashes = np.diff(first, append=len(hashes)), hashes[first]
+        del first
         edges = np.arange(1, partitions, dtype=np.uint64) * np.uint64(width)
         bounds = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
         for number, (start, end) in enumerate(zip(bounds, bounds[1:], strict=False)):
