@@ -5,8 +5,8 @@ matrix; each round, every row merges its leftmost pair of the smallest rank and
 all rows stay equally wide, and rows without a pair leave. The rank of a pair of ids is looked up in
 an open-addressing hash table held in two arrays.
 
-Words recur, so each task remembers what it has encoded, up to ``REMEMBERED`` words; the memory only
-saves work and never changes a result.
+Words recur, so each worker process remembers what it has encoded, up to ``REMEMBERED`` bytes and nothing
+that is long; the memory only saves work and never changes a result.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,9 +24,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from kontor.llm.rows import table
+from kontor.llm.rows import built_once, table
 
-REMEMBERED = 250_000
+#: Bytes that the memory of a process may take, about, and the characters of a chunk worth keeping.
+REMEMBERED = 96 << 20
+WORTH = 256
+#: What an entry of the memory takes besides its strings.
+_ENTRY = 300
 #: Longer pieces are merged one by one with a heap: a matrix round costs as much as the row is long.
 LONGEST_ROW = 256
 #: Characters of text whose words are looked up at once.
@@ -101,6 +105,8 @@ class Encoder:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
         self.words: dict[str, tuple[int, str, bytes]] = {}
+        self.held = 0
+        self._passing: list[str] = []
 
     def pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece."""
@@ -176,17 +182,24 @@ class Encoder:
         return [self.ranks[t] for t, here in zip(token, alive, strict=True) if here]
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not remembered yet."""
-        if len(self.words) > REMEMBERED:
+        """Encode the chunks that are not remembered yet; long ones are forgotten at the next call."""
+        for chunk in self._passing:
+            del self.words[chunk]
+        if self.held > REMEMBERED:
             self.words.clear()
+            self.held = 0
         new = [c for c in chunks if c not in self.words]
+        self._passing = [c for c in new if len(c) > WORTH]
         split = [[p.encode() for p in self.pattern.findall(c)] for c in new]
         distinct = list(set(chain.from_iterable(split)))
         ids = dict(zip(distinct, self.pieces(distinct), strict=True))
         for chunk, parts in zip(new, split, strict=True):
             found = list(chain.from_iterable([ids[p] for p in parts]))
             decoded = b"".join([self.bytes_of[i] for i in found])
-            self.words[chunk] = (len(found), " ".join(map(str, found)), decoded)
+            known = (len(found), " ".join(map(str, found)), decoded)
+            self.words[chunk] = known
+            if len(chunk) <= WORTH:
+                self.held += _ENTRY + len(chunk) + len(known[1]) + len(decoded)
 
 
 #: A blank before something that is not white space begins a chunk: no match of the pattern spans it.
@@ -200,13 +213,15 @@ def chunks_of(text: str) -> list[str]:
 
 
 def in_blocks(
-    texts: list[str | None], characters: int = _CHARACTERS
+    texts: list[str | None],
+    characters: int = _CHARACTERS,
+    cut: Callable[[str], list[str]] = chunks_of,
 ) -> Iterator[list[list[str]]]:
     """Chunk lists of successive texts, some megabytes at a time; NULL is empty."""
     block: list[list[str]] = []
     size = 0
     for text in texts:
-        block.append(chunks_of(text or ""))
+        block.append(cut(text or ""))
         size += len(text or "")
         if size >= characters:
             yield block
@@ -217,8 +232,7 @@ def in_blocks(
 
 def _encode(shared, pattern: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, state = shared.value
-        encoder = Encoder(ranks, PairTable.of(state), pattern)
+        encoder = built_once(shared, lambda v: Encoder(v[0], PairTable.of(v[1]), pattern))
         for batch in batches:
             sizes, digests, decoded = [], [], []
             for block in in_blocks(batch.column("text").to_pylist()):

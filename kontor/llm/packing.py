@@ -19,13 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm.bpe import in_blocks
-from kontor.llm.rows import table
+from kontor.llm.bpe import chunks_of, in_blocks
+from kontor.llm.rows import built_once, table
 
 LONGEST = 2048
 END = 1
-#: Chunks that a task remembers, about 0.2 KB each; forgetting only costs time.
-REMEMBERED = 600_000
+#: Bytes that the memory of a worker process may take, about, and the characters of a chunk worth
+#: keeping; forgetting only costs time.
+REMEMBERED = 128 << 20
+WORTH = 256
+#: What an entry of the memory takes besides its strings.
+_ENTRY = 180
 _LED = re.compile(r" \S")
 _MARKS = ".,;:!?"
 _TAIL = re.compile(f"(?<=[A-Za-z])(?=[{_MARKS}])")
@@ -49,30 +53,55 @@ def pieces(count: int, longest: int = LONGEST) -> list[tuple[int, int]]:
 
 
 class _Words:
-    """Ids of text chunks as little-endian bytes, remembered per task.
+    """Ids of text chunks as little-endian bytes, remembered per worker process.
 
     A chunk that begins with a blank and a visible character is encoded alike wherever it stands, and
     so is what follows a letter and begins with a punctuation mark: the pattern always cuts there. New
     chunks are therefore cut before such marks, what is new of that is encoded as one text, and the
-    bytes of its tokens tell where each part ends.
+    bytes of its tokens tell where each part ends. The vocabulary's special tokens, where they count,
+    are chunks of their own, and texts are cut at them first, as the library does.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, marks_are_text: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.special: dict[str, bytes] = {}
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.lstrip or token.rstrip or token.single_word or not token.special:
+                raise ValueError(f"the added token {token.content!r} is no plain special token")
+            if not marks_are_text:
+                self.special[token.content] = np.array([number], "<u4").tobytes()
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+        # What is left of a text holds no mark, and marks that are text are encoded as such.
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         # In a byte-level vocabulary each character of a token stands for one byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
-        self.ids: dict[str, bytes] = {}
+        self.ids = dict(self.special)
+        self.held = 0
+        self._passing: list[str] = []
+
+    def chunks(self, text: str) -> list[str]:
+        if not any(mark in text for mark in self.special):
+            return chunks_of(text)
+        out: list[str] = []
+        for part in self.marks.split(text):
+            out += [part] if part in self.special else chunks_of(part)
+        return out
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
+        """Encode the chunks that are not remembered yet; long ones are forgotten at the next call."""
         known = self.ids
+        for part in self._passing:
+            del known[part]
+        if self.held > REMEMBERED:
+            known.clear()
+            known.update(self.special)
+            self.held = 0
         new = [c for c in chunks if c not in known]
         parts = {c: p for c in new if len(p := _TAIL.split(c)) > 1}
         wanted = {p for c in new for p in parts.get(c, (c,)) if p not in known}
@@ -100,16 +129,20 @@ class _Words:
             at = stop
         for chunk, split in parts.items():
             known[chunk] = b"".join([known[p] for p in split])
+        added = wanted.union(parts)
+        self._passing = [c for c in added if len(c) > WORTH]
+        self.held += sum([_ENTRY + len(c) + len(known[c]) for c in added if len(c) <= WORTH])
 
 
 def _cut(shared, longest: int, end: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(shared.value)
+        words = built_once(shared, lambda value: _Words(*value))
         closing = np.array([end], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
             keys = iter(batch.column("doc_id").to_pylist())
-            for block in in_blocks(batch.column("text").to_pylist(), _CHARACTERS):
+            texts = batch.column("text").to_pylist()
+            for block in in_blocks(texts, _CHARACTERS, words.chunks):
                 words.learn(set(chain.from_iterable(block)))
                 known = words.ids
                 for chunks in block:
@@ -137,16 +170,18 @@ def pack(
     text: str = "text",
     key: str = "doc_id",
     with_ids: bool = True,
+    marks_are_text: bool = False,
 ) -> DataFrame:
     """One row per piece: its document, place and length there, sequence and offset in it, and ids.
 
     ``ids`` holds little-endian unsigned 32-bit ids (NULL unless ``with_ids``). A NULL or empty text
     has only the closing id. Repeated rows are packed repeatedly; other columns are not read. Sequence
     ids are unique; a sequence's length is its bucket. The vocabulary, whose size is fixed, is
-    broadcast.
+    broadcast. A special token's string in a text becomes its id, as the library has it by default;
+    with ``marks_are_text``, which is safer for texts of unknown origin, it is text like any other.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        shared = docs.sparkSession.sparkContext.broadcast((file.read(), marks_are_text))
     rows = docs.selectExpr(f"cast(`{key}` as long) doc_id", f"`{text}` text")
     return (
         rows.mapInArrow(_cut(shared, longest, end, with_ids), _SCHEMA)
@@ -155,11 +190,6 @@ def pack(
     )
 
 
-def write_buckets(packed: DataFrame, path: str) -> None:
-    """The sequences as Parquet, one folder per length, ready for batches of equal length."""
-    packed.hint("rebalance", "length").write.partitionBy("length").parquet(path)
-
-
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(
         table(spark, folder, "documents"),

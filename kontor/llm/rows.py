@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,25 @@ def row_key(id_column: str, text_column: str) -> list[Column]:
 
 KEY = ["k1", "k2"]
 
+
+def fresh(taken: list[str], name: str) -> str:
+    """A column name like ``name`` that none of the taken ones has, whatever its case."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def built_once(shared: Broadcast, build: Callable):
+    """What a worker process builds from a broadcast value, once for all the tasks that it runs.
+
+    It lives as long as the process holds the broadcast, and may only save work.
+    """
+    if not hasattr(shared, "built"):
+        shared.built = build(shared.value)
+    return shared.built
+
+
 #: A written table of at most so many narrow rows is broadcast; beyond that joins shuffle.
 BROADCAST_ROWS = 1_000_000
 
