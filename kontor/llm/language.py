@@ -194,51 +194,55 @@ def identify(
     return rows.mapInArrow(_predict(profiles, size), _PREDICTED)
 
 
-def with_language(
-    docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE
-) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``n_grams``; the text stays. Such columns are replaced.
+def verdict(
+    profiles: dict[str, list[int]], text: Column, size: int = PROFILE
+) -> Column:
+    """A struct of ``lang_pred``, ``score`` and ``n_grams`` for a text; the row itself stays in the JVM.
 
     ``n_grams`` counts the distinct n-grams that the score rests on, ``size`` at most.
     """
-    docs = docs.drop("lang_pred", "score", "n_grams")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang_pred:string,score:double,n_grams:long>")
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classifier = Classifier(profiles, size)
-        for batch in batches:
-            found = [classifier.judged(t) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64()),
-                 pa.array([f[2] for f in found], pa.int64())],
-                [*batch.schema.names, "lang_pred", "score", "n_grams"],
-            )
+        for batch in texts:
+            found = [classifier.judged(t) for t in batch.to_pylist()]
+            columns = zip(*found, strict=True) if found else [[]] * 3
+            kinds = [pa.string(), pa.float64(), pa.int64()]
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["lang_pred", "score", "n_grams"],
+            )
 
-    return docs.mapInArrow(predict, f"{fields}, lang_pred string, score double, n_grams long")
+    return judge(text)
 
 
-def evened(size: int = PROFILE) -> Column:
-    """The score of a judged row, raised the more the fewer n-grams it rests on; 1 at most.
+def evened(judged: str, size: int = PROFILE) -> Column:
+    """The score of a ``verdict``, raised the more the fewer n-grams it rests on; 1 at most.
 
     A text of ``size`` n-grams keeps its score. With half of them it gets one ``MARGIN``, with a tenth
     nine: chance moves the scores of short texts, and too little of them is seen to call them foreign.
     """
-    raised = F.col("score") + MARGIN * (size / F.greatest("n_grams", F.lit(1)) - 1)
-    return F.least(raised, F.lit(1.0))
+    score, seen = F.col(f"{judged}.score"), F.col(f"{judged}.n_grams")
+    return F.least(score + MARGIN * (size / F.greatest(seen, F.lit(1)) - 1), F.lit(1.0))
 
 
-def least_scores(labelled: DataFrame, size: int = PROFILE) -> dict[str, float]:
+def least_scores(labelled: DataFrame, judged: str, size: int = PROFILE) -> dict[str, float]:
     """Per predicted language, the evened score from which on a text counts as one in it.
 
-    That is ``MARGIN`` below the lowest of the ``labelled`` rows, judged by ``with_language``. Some texts
+    That is ``MARGIN`` below the lowest of the ``labelled`` rows, by their ``verdict``. Some texts
     with a wrong label must not open a language to foreign ones: outliers (1.5 interquartile ranges
     below the lower quartile) that stand more than ``GAP`` below the next row do not count, nor
     does what is below them. Rows are counted by steps of their scores, rounded down: a fixed number
     of counts for each language reaches the driver.
     """
-    step = F.floor(evened(size) * _STEPS).cast("long").alias("step")
-    counted = labelled.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred", step).count()
+    step = F.floor(evened(judged, size) * _STEPS).cast("long").alias("step")
+    counted = (
+        labelled.select(F.col(f"{judged}.lang_pred").alias("lang_pred"), step)
+        .where(F.col("lang_pred") != UNKNOWN)
+        .groupBy("lang_pred", "step")
+        .count()
+    )
     steps: dict[str, list[tuple[int, int]]] = {}
     for row in counted.orderBy("lang_pred", "step").collect():
         steps.setdefault(row["lang_pred"], []).append((row["step"], row["count"]))

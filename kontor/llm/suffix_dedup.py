@@ -372,20 +372,28 @@ def _ranges(docs: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
     return whole.unionByName(inside).unionByName(matched).distinct(), texts
 
 
+NEW = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
+
+
 def remove_repeats(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", min_bytes: int = MIN_BYTES
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    min_bytes: int = MIN_BYTES,
+    into: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and what is kept.
 
     A byte goes if some string of ``min_bytes`` bytes over it also starts anywhere else, in the same
     text or another one; overlaps count and strings are judged on the input. A NULL text is empty.
     Every input row yields one row, repeated rows too (they are copies of each other). Columns of the
-    input that have one of the new names are replaced. ``kept`` holds the bytes, which may cut a
-    character in two; ``kept_text`` is the text without such halves, NULL where the text was.
+    input that have one of the new names are replaced, unless a column ``into`` is named, which then
+    holds the new ones as a struct. ``kept`` holds the bytes, which may cut a character in two;
+    ``kept_text`` is the text without such halves, NULL where the text was.
     """
-    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
+    stay = [c for c in docs.columns if into or c not in NEW]
     renamed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in stay]).alias("row"),
         *row_key(key, text),
         F.col(text).alias("text"),
     )
@@ -399,13 +407,13 @@ def remove_repeats(
     )
     # What has no repeat at all never leaves its row; only digests meet the removed ranges.
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return (
+    found = (
         renamed.withColumns(
             {"n_bytes": F.octet_length(whole).cast("long"), "sha": F.sha2(whole, 256)}
         )
         .join(materialise(removed, "dedup-removed"), KEY, "left")
         .select(
-            "row.*",
+            "row",
             "n_bytes",
             F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
             F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
@@ -414,6 +422,7 @@ def remove_repeats(
             F.coalesce("kept_text", "text").alias("kept_text"),
         )
     )
+    return found.select("row.*", *([F.struct(*NEW).alias(into)] if into else NEW))
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -310,7 +310,6 @@ def test_ids_and_their_decoding(spark):
 def test_pieces_are_powers_of_two_without_padding(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = [*odd_texts()[:-1], (5000, "word " * 6000)]
     found = defaultdict(list)
     packed = packing.pack(clashing(spark.createDataFrame(rows, DOCS)), path).collect()
