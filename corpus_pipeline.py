@@ -7,7 +7,7 @@ Each stage works on everything its predecessor kept, and all but the last return
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm.language import (
@@ -16,11 +16,11 @@ from kontor.llm.language import (
     held_out,
     learn_profiles,
     least_scores,
-    with_language,
+    verdict,
 )
 from kontor.llm.minhash import one_per_group
 from kontor.llm.packing import pack
-from kontor.llm.rows import prepared, table
+from kontor.llm.rows import fresh, prepared, table
 from kontor.llm.secrets import redacted
 from kontor.llm.suffix_dedup import remove_repeats
 from kontor.session import materialise
@@ -30,6 +30,14 @@ from kontor.session import materialise
 LEAST_SCORE = 0.2
 
 
+def _columns(docs: DataFrame, text: Column | None = None) -> list[Column]:
+    """The columns of ``docs``, whatever their names; with a new text, and its length in ``n_chars``."""
+    new = {}
+    if text is not None:
+        new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return [new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; texts without letters and foreign ones go.
 
@@ -37,14 +45,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A few foreign words score like a short clean text and stay.
     """
     prepared(spark)
-    learned_from = ~held_out("doc_id")
-    profiles = learn_profiles(docs.where(learned_from))
-    judged = materialise(with_language(docs, profiles), "judged-documents")
+    learning = docs.where(~held_out("doc_id") & F.col("lang").isNotNull())
+    profiles = learn_profiles(learning)
+    name = fresh(docs.columns, "verdict")
+    judged = verdict(profiles, F.col("text")).alias(name)
     least = F.lit(0.0)
-    for lang, score in least_scores(judged.where(learned_from & F.col("lang").isNotNull())).items():
-        least = F.when(F.col("lang_pred") == lang, score).otherwise(least)
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE) & (evened() >= least)
-    return judged.where(known).select(*docs.columns)
+    for lang, score in least_scores(learning.select(judged), name).items():
+        least = F.when(F.col(f"{name}.lang_pred") == lang, score).otherwise(least)
+    known = F.col(f"{name}.lang_pred") != UNKNOWN
+    sure = (F.col(f"{name}.score") >= LEAST_SCORE) & (evened(name) >= least)
+    # Judged anew instead of stored: that costs less than writing every text once more.
+    return docs.select("*", judged).where(known & sure).select(*_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,22 +67,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 400 bytes and more that occur more than once."""
     prepared(spark)
-    columns = {"text": "kept_text", "n_chars": "cast(char_length(kept_text) as long)"}
-    return remove_repeats(docs).selectExpr(*[f"{columns.get(c, c)} as {c}" for c in docs.columns])
+    name = fresh(docs.columns, "kept")
+    found = remove_repeats(docs, into=name)
+    return found.select(*_columns(docs, F.col(f"{name}.kept_text")))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with live-looking secrets replaced by a marker."""
     prepared(spark)
-    clean = redacted(docs)
-    columns = {"n_chars": "cast(char_length(text) as long)"}
-    return clean.selectExpr(*[f"{columns.get(c, c)} as {c}" for c in docs.columns])
+    return redacted(docs).select(*_columns(docs, F.col("text")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the documents, with their ids."""
     prepared(spark)
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), marks_are_text=True)
 
 
 STAGES = [
