@@ -29,7 +29,7 @@ def test_two_nightly_runs(spark, tmp_path, grain):
     first = shop(
         spark, [order("O1")], [line("a", "O1")], customers=[customer("Aachen")], products=[PRODUCT]
     )
-    warehouse.run(first, datetime(2024, 3, 5))
+    warehouse.run(first, datetime(2024, 3, 5), bounds=Bounds(row_count=(1, 10)))
     second = shop(
         spark,
         [order("O1"), order("O2", "2024-03-05T10:00:00+00:00")],
@@ -37,7 +37,7 @@ def test_two_nightly_runs(spark, tmp_path, grain):
         customers=[customer("Bonn")],
         products=[PRODUCT],
     )
-    warehouse.run(second, datetime(2024, 3, 6))
+    warehouse.run(second, datetime(2024, 3, 6), bounds=Bounds(row_count=(1, 10)))
     marts = warehouse.marts()
     counts = {name: df.count() for name, df in marts.items()}
     assert counts == {
