@@ -21,9 +21,8 @@ from kontor.session import materialise
 
 SEGMENT = 16
 K = 10
-#: Distinct codes per shard, and queries per block.
+#: Distinct codes per shard.
 SHARD_CODES = 1 << 16
-BLOCK_QUERIES = 1 << 12
 _AT_ONCE = 32
 
 
@@ -98,16 +97,21 @@ def _segments(codes: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(codes), np.uint16).reshape(len(codes), width // 2)
 
 
-def _find(k: int):
-    def find(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _indexed(data: pd.DataFrame) -> dict[int, tuple[Index, np.ndarray]]:
+    """An index and the ids of its rows per length of codes: different lengths are never compared."""
+    return {
+        int(width): (Index(_segments(rows["code"])), rows["ids"].to_numpy())
+        for width, rows in data.groupby(data["code"].str.len())
+    }
+
+
+def _ask(k: int):
+    def ask(indexes: dict[int, tuple[Index, np.ndarray]], queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
-        # Codes of different lengths are never compared.
         for width, alike in queries.groupby(queries["code"].str.len()):
-            rows = data[data["code"].str.len() == width].reset_index(drop=True)
-            if rows.empty:
+            if width not in indexes:
                 continue
-            index = Index(_segments(rows["code"]))
-            ids = rows["ids"].to_numpy()
+            index, ids = indexes[width]
             for first in range(0, len(alike), _AT_ONCE):
                 part = alike.iloc[first : first + _AT_ONCE]
                 # One more than k, for the query's own code; ties are kept whole.
@@ -119,10 +123,10 @@ def _find(k: int):
                         for i in ids[c]
                         if i != query
                     ]
-                    out.extend((query, i, d) for d, i in sorted(rows_of)[:k])
+                    out.extend((int(query), i, d) for d, i in sorted(rows_of)[:k])
         return pd.DataFrame(out, columns=["query_id", "vec_id", "distance"])
 
-    return find
+    return ask
 
 
 def sign_codes(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -152,10 +156,16 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     )
     shards = pieces(distinct.count(), SHARD_CODES)
     asked = queries.select(F.col("vec_id").alias("query_id"), "code").distinct()
-    blocks = pieces(asked.count(), BLOCK_QUERIES)
     data = distinct.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int"))
-    found = search(data, asked, shards, blocks, _find(k),
-                   "query_id long, vec_id long, distance long")
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    found = search(
+        data,
+        asked.withColumn("shard", F.explode(every)),
+        shards,
+        _indexed,
+        _ask(k),
+        "query_id long, vec_id long, distance long",
+    )
     return nearest(found, k, "distance").select("query_id", "rank", "vec_id", "distance")
 
 

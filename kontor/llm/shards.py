@@ -1,11 +1,13 @@
-"""Searching a stated query set against all rows: bounded shards of rows, bounded blocks of queries."""
+"""Searching a stated query set against all rows: bounded shards of rows, and streams of queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType
 
 
 def usable(vector: str) -> Column:
@@ -35,26 +37,52 @@ def pieces(rows: int, most: int) -> int:
 
 
 def search(
-    data: DataFrame,
-    queries: DataFrame,
-    shards: int,
-    blocks: int,
-    find: Callable,
-    schema: str,
+    data: DataFrame, queries: DataFrame, shards: int, build: Callable, ask: Callable, schema: str
 ) -> DataFrame:
-    """``find(rows of a shard, block of queries)`` for every shard and block.
+    """``ask(build(rows of a shard), some queries)`` for the queries that come to each shard.
 
-    ``data`` has its ``shard``; ``queries`` have a ``query_id``. A task holds one shard and one block.
+    Both sides have a ``shard``. They share one exchange, after which a shard's rows come first and its
+    queries follow in batches. So rows are moved once, a task holds one shard and one batch of
+    queries, and there may be any number of queries.
     """
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = data.withColumn("block", F.explode(every)).groupBy("shard", "block")
-    right = (
-        queries.withColumn("block", block)
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .groupBy("shard", "block")
+    columns = {f.name: f.dataType for side in (data, queries) for f in side.schema}
+
+    def absent(kind: DataType) -> Column:
+        # A NULL among whole numbers would make floats of them in pandas.
+        return F.lit(0 if isinstance(kind, NumericType) else None).cast(kind)
+
+    def side(df: DataFrame, of_query: bool) -> DataFrame:
+        own = [
+            F.col(c) if c in df.columns else absent(kind).alias(c) for c, kind in columns.items()
+        ]
+        return df.select(*own, F.lit(of_query).alias("_asked"))
+
+    names = (list(data.columns), list(queries.columns))
+    return (
+        side(data, False)
+        .unionByName(side(queries, True))
+        .repartition(shards, "shard")
+        .sortWithinPartitions("shard", "_asked")
+        .mapInPandas(_streamed(names, build, ask), schema)
     )
-    return left.cogroup(right).applyInPandas(find, schema)
+
+
+def _streamed(names: tuple[list[str], list[str]], build: Callable, ask: Callable):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, state = None, [], None
+        for frame in frames:
+            for shard, rows in frame.groupby("shard", sort=False):
+                if shard != now:
+                    now, held, state = shard, [], None
+                asked = rows["_asked"].to_numpy(bool)
+                if not asked.all():
+                    held.append(rows.loc[~asked, names[0]])
+                if asked.any() and held:
+                    if state is None:
+                        state = build(pd.concat(held, ignore_index=True))
+                    yield ask(state, rows.loc[asked, names[1]].reset_index(drop=True))
+
+    return run
 
 
 def nearest(found: DataFrame, k: int, measure: str) -> DataFrame:
