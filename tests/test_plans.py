@@ -102,15 +102,11 @@ def test_raw_columns_are_pruned(stored):
     assert len(RAW["orders"]) == 9
 
 
-def test_hot_customer_is_split_over_tasks(spark, no_broadcast):
-    from kontor.operators.scd2 import as_of_join, first_snapshot
+def test_hot_customer_is_split_over_tasks(spark, monkeypatch):
+    """A third of all facts has one customer and one moment, so no bucket of time divides them."""
+    from kontor.operators import scd2
 
-    settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
+    monkeypatch.setattr(scd2, "HOT_FACTS", 20_000)
     facts = spark.range(0, 400_000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, F.lit("C0"))
         .otherwise(F.concat(F.lit("C"), F.col("id") % 5000))
@@ -119,16 +115,18 @@ def test_hot_customer_is_split_over_tasks(spark, no_broadcast):
         F.lit("2024-01-02").cast("timestamp_ntz").alias("at"),
     )
     customers = spark.range(5000).select(F.concat(F.lit("C"), F.col("id")).alias("k"))
-    joined = as_of_join(facts, first_snapshot(customers, "2024-01-01"), "k", "at")
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        counted = joined.agg(F.count("valid_from"), F.max(F.length("payload")))
-        assert counted.collect()[0][0] == 400_000
-        assert "SortMergeJoin(skew=true)" in plan(counted)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    in_parts, sizes = scd2._in_parts, []
+
+    def counted(rows):
+        out = in_parts(rows)
+        group = out.where("_fact is not null").groupBy("_key", "_bucket", "_part").count()
+        sizes.append(group.agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(scd2, "_in_parts", counted)
+    joined = scd2.as_of_join(facts, scd2.first_snapshot(customers, "2024-01-01"), "k", "at")
+    assert joined.agg(F.count("valid_from"), F.countDistinct("payload")).first()[:] == (400_000, 400_000)
+    assert sizes[0] < 25_000
 
 
 def test_hot_versions_behind_a_join_are_limited_before_the_exchange(spark, no_broadcast):
