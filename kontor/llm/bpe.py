@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from kontor.llm.rows import built_once, table
+from kontor.llm.rows import built_once, table, tidied
 
 #: Bytes that the memory of a process may take, about, and the characters of a chunk worth keeping.
 REMEMBERED = 96 << 20
@@ -267,7 +267,7 @@ def token_digests(
     shared = spark.sparkContext.broadcast((ranks, vars(PairTable(ranks))))
     rows = docs.selectExpr(f"cast(`{key}` as long) doc_id", f"`{text}` text")
     return rows.mapInArrow(
-        _encode(shared, pattern),
+        tidied(_encode(shared, pattern)),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
 

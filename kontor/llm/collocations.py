@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kontor.llm.rows import table
+from kontor.llm.rows import table, tidied
 from kontor.session import materialise
 
 LONGEST = 4
@@ -256,11 +256,11 @@ def survivors(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, int
     bits = min(62, max(32, mass.bit_length() + 10))
     # The summary's error stays below least / 2 as long as this many counters share the mass.
     capacity = 2 * -(-mass // (partitions * least)) + 1
-    packed_rows = rows.mapInArrow(_gather(partitions, bits, longest), "part int, summary binary")
+    packed_rows = rows.mapInArrow(tidied(_gather(partitions, bits, longest)), "part int, summary binary")
     merged = (
         packed_rows.repartition(partitions, "part")
         .sortWithinPartitions("part")
-        .mapInArrow(_merge(capacity, least), "h long")
+        .mapInArrow(tidied(_merge(capacity, least)), "h long")
     )
     return materialise(merged, "surviving-phrases"), bits
 
@@ -324,7 +324,7 @@ def phrase_counts(rows: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     bitmap, bits = filter_of(found)
     shared = rows.sparkSession.sparkContext.broadcast((bitmap, bits, hash_bits))
     counted = rows.mapInArrow(
-        _count(shared, longest), "lang string, phrase string, size int, f long"
+        tidied(_count(shared, longest)), "lang string, phrase string, size int, f long"
     )
     totals = counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     return materialise(

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm.rows import KEY, row_key, sized, table
+from kontor.llm.rows import KEY, row_key, sized, table, tidied
 from kontor.session import materialise
 
 WINDOW = 10
@@ -246,7 +246,7 @@ def _scanned(rows: DataFrame, segments: DataFrame, size: int) -> DataFrame:
     for number in range(shards):
         held = distinct.where(shard == number).select("segment").orderBy("segment").collect()
         shared = rows.sparkSession.sparkContext.broadcast([bytes(r.segment) for r in held])
-        scan = rows.mapInArrow(_scan(shared, size, number == 0), _SCANNED)
+        scan = rows.mapInArrow(tidied(_scan(shared, size, number == 0)), _SCANNED)
         scans.append(scan.withColumn("shard", F.lit(number)))
     return materialise(reduce(DataFrame.unionByName, scans), "scanned")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kontor.llm.rows import table
+from kontor.llm.rows import table, tidied
 
 PROFILE = 300
 UNKNOWN = "und"
@@ -26,7 +26,7 @@ GAP = 0.08
 #: Steps of scores in which labelled rows are counted.
 _STEPS = 1000
 #: Distinct n-grams that a task gathers before it passes their counts on.
-_GATHERED = 1 << 21
+_GATHERED = 1 << 20
 _MARK = 1
 
 
@@ -113,7 +113,7 @@ def learn_profiles(
     rows = docs.selectExpr(f"`{lang}` lang", f"`{text}` text").where(
         "lang is not null and text is not null"
     )
-    counted = rows.mapInArrow(_count(_letters), "lang string, gram long, n long")
+    counted = rows.mapInArrow(tidied(_count(_letters)), "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = totals.withColumn("place", F.row_number().over(best)).where(F.col("place") <= size)
@@ -191,7 +191,7 @@ def identify(
         held_out(key).alias("held_out"),
         F.col(text).alias("text"),
     )
-    return rows.mapInArrow(_predict(profiles, size), _PREDICTED)
+    return rows.mapInArrow(tidied(_predict(profiles, size)), _PREDICTED)
 
 
 def verdict(
@@ -202,8 +202,8 @@ def verdict(
     ``n_grams`` counts the distinct n-grams that the score rests on, ``size`` at most.
     """
 
-    @F.arrow_udf("struct<lang_pred:string,score:double,n_grams:long>")
-    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @tidied
+    def judged(texts):
         classifier = Classifier(profiles, size)
         for batch in texts:
             found = [classifier.judged(t) for t in batch.to_pylist()]
@@ -214,6 +214,10 @@ def verdict(
                 ["lang_pred", "score", "n_grams"],
             )
 
+    @F.arrow_udf("struct<lang_pred:string,score:double,n_grams:long>")
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return judged(texts)
+
     return judge(text)
 
 

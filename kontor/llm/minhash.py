@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kontor.llm.components import components
-from kontor.llm.rows import KEY, row_key, sized, table
+from kontor.llm.rows import KEY, row_key, sized, table, tidied
 from kontor.session import materialise
 
 WORDS = 5
@@ -166,7 +166,7 @@ def _confirmed(pairs: DataFrame, full: DataFrame, name: str) -> DataFrame:
     one = full.select(F.col("rep").alias("a"), F.col("sketch").alias("x"), F.col("hashes").alias("xs"))
     two = full.select(F.col("rep").alias("b"), F.col("sketch").alias("y"), F.col("hashes").alias("ys"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "xs", "y", "ys")
-    return materialise(both.mapInArrow(_confirm, "a long, b long"), name)
+    return materialise(both.mapInArrow(tidied(_confirm), "a long, b long"), name)
 
 
 def _across(asked: pd.DataFrame, against: pd.DataFrame) -> pd.DataFrame:
@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         F.col(key).cast("long").alias("doc_id"), *row_key(key, text), F.col(text).alias("text")
     )
     schema = "doc_id long, k1 long, k2 long, n long, s1 long, s2 long, bands array<long>"
-    sketches = materialise(source.mapInArrow(_sketch, schema), "sketches")
+    sketches = materialise(source.mapInArrow(tidied(_sketch), schema), "sketches")
     classes = sized(
         materialise(
             sketches.where("n > 0").groupBy("s1", "s2")
@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         wanted.join(again, KEY, "left_semi").dropDuplicates(KEY)
     )
     full = materialise(
-        once.select("doc_id", "text").mapInArrow(_full, "rep long, sketch binary, hashes binary"),
+        once.select("doc_id", "text").mapInArrow(tidied(_full), "rep long, sketch binary, hashes binary"),
         "full-sets",
     )
     links = _confirmed(first, full, "links")

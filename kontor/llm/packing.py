@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.llm.bpe import chunks_of, in_blocks
-from kontor.llm.rows import built_once, table
+from kontor.llm.rows import built_once, table, tidied
 
 LONGEST = 2048
 END = 1
@@ -29,14 +29,14 @@ END = 1
 REMEMBERED = 128 << 20
 WORTH = 256
 #: What an entry of the memory takes besides its strings.
-_ENTRY = 180
+_ENTRY = 230
 _LED = re.compile(r" \S")
 _MARKS = ".,;:!?"
 _TAIL = re.compile(f"(?<=[A-Za-z])(?=[{_MARKS}])")
 #: Stands before a part that needs a letter before it.
 _LETTER = " a"
 #: Characters of text whose chunks are looked up at once.
-_CHARACTERS = 4 << 20
+_CHARACTERS = 1 << 20
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -62,7 +62,8 @@ class _Words:
     are chunks of their own, and texts are cut at them first, as the library does.
     """
 
-    def __init__(self, tokenizer: str, marks_are_text: bool):
+    def __init__(self, tokenizer: str, marks_are_text: bool, remembered: int):
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -97,18 +98,27 @@ class _Words:
         """Encode the chunks that are not remembered yet; long ones are forgotten at the next call."""
         known = self.ids
         for part in self._passing:
-            del known[part]
-        if self.held > REMEMBERED:
+            known.pop(part, None)
+        self._passing = []
+        if self.held > self.remembered:
             known.clear()
             known.update(self.special)
             self.held = 0
-        new = [c for c in chunks if c not in known]
-        parts = {c: p for c in new if len(p := _TAIL.split(c)) > 1}
-        wanted = {p for c in new for p in parts.get(c, (c,)) if p not in known}
+        parts: dict[str, tuple[str, ...]] = {}
+        wanted: set[str] = set()
+        for chunk in chunks:
+            if chunk in known:
+                continue
+            split = _parts(chunk)
+            if len(split) > 1:
+                parts[chunk] = split
+                wanted.update([p for p in split if p not in known])
+            else:
+                wanted.add(chunk)
         led: list[str] = []
         first: list[str] = []
         for part in wanted:
-            if _LED.match(part):
+            if part[0] == " " and _LED.match(part):
                 led.append(part)
             elif part[0] in _MARKS:
                 led += (_LETTER, part)
@@ -119,7 +129,7 @@ class _Words:
             known[part] = np.array(encoded.ids, "<u4").tobytes()
         ids = np.array(found[0].ids, "<u4")
         ends = np.cumsum(self.sizes[ids])
-        sizes = np.cumsum([len(c.encode()) for c in led])
+        sizes = np.cumsum(list(map(len, map(str.encode, led))))
         stops = np.searchsorted(ends, sizes)
         if not np.array_equal(ends[stops], sizes):
             raise ValueError("the vocabulary is not byte-level, or its pattern joins words")
@@ -129,9 +139,18 @@ class _Words:
             at = stop
         for chunk, split in parts.items():
             known[chunk] = b"".join([known[p] for p in split])
-        added = wanted.union(parts)
-        self._passing = [c for c in added if len(c) > WORTH]
-        self.held += sum([_ENTRY + len(c) + len(known[c]) for c in added if len(c) <= WORTH])
+        for kept in (wanted, parts):
+            self._passing += [c for c in kept if len(c) > WORTH]
+            self.held += sum(map(len, kept)) + _ENTRY * len(kept)
+
+
+def _parts(chunk: str) -> tuple[str, ...]:
+    """The chunk in parts that are encoded alike wherever they stand: cut before marks after letters."""
+    if chunk[1:].isalpha():
+        return (chunk,)
+    if chunk[-1] in _MARKS and chunk[1:-1].isalpha() and chunk[-2].isascii():
+        return chunk[:-1], chunk[-1]
+    return tuple(_TAIL.split(chunk))
 
 
 def _cut(shared, longest: int, end: int, with_ids: bool):
@@ -171,6 +190,7 @@ def pack(
     key: str = "doc_id",
     with_ids: bool = True,
     marks_are_text: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece: its document, place and length there, sequence and offset in it, and ids.
 
@@ -179,12 +199,13 @@ def pack(
     ids are unique; a sequence's length is its bucket. The vocabulary, whose size is fixed, is
     broadcast. A special token's string in a text becomes its id, as the library has it by default;
     with ``marks_are_text``, which is safer for texts of unknown origin, it is text like any other.
+    ``remembered`` bounds the bytes of encoded words that a worker process keeps.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast((file.read(), marks_are_text))
+        shared = docs.sparkSession.sparkContext.broadcast((file.read(), marks_are_text, remembered))
     rows = docs.selectExpr(f"cast(`{key}` as long) doc_id", f"`{text}` text")
     return (
-        rows.mapInArrow(_cut(shared, longest, end, with_ids), _SCHEMA)
+        rows.mapInArrow(tidied(_cut(shared, longest, end, with_ids)), _SCHEMA)
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from kontor.session import configure
 
 #: Arrow batches are kept small, because a single text may be very long.
-BATCH_ROWS = 1024
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 512
+BATCH_BYTES = 4 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -60,6 +62,30 @@ def built_once(shared: Broadcast, build: Callable):
     return shared.built
 
 
+
+def hand_back() -> None:
+    """Hands freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(task: Callable) -> Callable:
+    """A function over batches that hands freed memory back when its task ends.
+
+    Worker processes outlive tasks, and what their allocators keep adds up over a long run.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            hand_back()
+
+    return run
+
+
 #: A written table of at most so many narrow rows is broadcast; beyond that joins shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -28,13 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm.rows import KEY, row_key, table
+from kontor.llm.rows import KEY, hand_back, row_key, table, tidied
 from kontor.llm.suffix_arrays import common_prefixes, suffix_array
 from kontor.session import materialise
 
 MIN_BYTES = 400
 #: Bytes of text per suffix array.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Different runs of one anchor per shard, and windows per run.
 SPLIT = 2048
 LONGEST_RUN = 2048
@@ -202,6 +202,12 @@ def _repeats_in_shard(min_bytes: int):
     """Ranges of windows that repeat inside a shard; of split anchors, also each window by hash."""
 
     def repeats(rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return found_in(rows)
+        finally:
+            hand_back()
+
+    def found_in(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["k1", "k2", "start"], ignore_index=True)
         lengths = rows["run"].str.len().to_numpy()
         # A separator above all bytes ends each run.
@@ -292,7 +298,7 @@ def _remove(min_bytes: int):
 def _ranges(docs: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
     """(ranges of repeated windows per document, the documents with any repeated anchor)."""
     found = docs.select(*KEY, "text").where(F.octet_length("text") >= min_bytes)
-    runs = materialise(found.mapInArrow(_find_runs(min_bytes), _RUNS), "dedup-runs")
+    runs = materialise(found.mapInArrow(tidied(_find_runs(min_bytes)), _RUNS), "dedup-runs")
     anchors = (
         runs.groupBy("a")
         .agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("m"))
@@ -348,7 +354,7 @@ def _ranges(docs: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
             ),
             KEY,
         )
-        .mapInArrow(_cut(min_bytes), "k1 long, k2 long, start long, shard long, split boolean, "
+        .mapInArrow(tidied(_cut(min_bytes)), "k1 long, k2 long, start long, shard long, split boolean, "
                     "run binary")
     )
     sorted_out = materialise(
@@ -401,7 +407,7 @@ def remove_repeats(
     removed = texts.join(
         ranges.groupBy(*KEY).agg(F.collect_list(F.struct("start", "wins")).alias("ranges")), KEY
     ).mapInArrow(
-        _remove(min_bytes),
+        tidied(_remove(min_bytes)),
         "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary, "
         "kept_text string",
     )

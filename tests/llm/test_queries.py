@@ -67,11 +67,12 @@ MARKED = ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>\n", "x.<|endof
 @pytest.mark.parametrize("marks_are_text", [False, True])
 @pytest.mark.parametrize("remembered", [128 << 20, 0])
 def test_special_tokens_in_texts(spark, monkeypatch, marks_are_text, remembered):
-    monkeypatch.setattr(packing, "REMEMBERED", remembered)
     monkeypatch.setattr(packing, "WORTH", 3)
     monkeypatch.setattr(packing, "_CHARACTERS", 20)
     texts = [(i, t) for i, t in enumerate(MARKED * 2)] + odd_texts()
-    got = packing.pack(spark.createDataFrame(texts, DOCS), JSON, marks_are_text=marks_are_text)
+    got = packing.pack(
+        spark.createDataFrame(texts, DOCS), JSON, marks_are_text=marks_are_text, remembered=remembered
+    )
     assert rows_of(got, *PIECE) == pieces_of(texts, marks_are_text)
 
 
