@@ -28,6 +28,8 @@ from kontor.session import materialise
 #: No text below this is in a learned language, however short it is: other scripts, keyboard noise.
 #: The cut that tells languages apart is learned, one for each of them.
 LEAST_SCORE = 0.2
+#: Bytes of encoded words that a process keeps: little, because earlier stages have left their marks.
+REMEMBERED = 8 << 20
 
 
 def _columns(docs: DataFrame, text: Column | None = None) -> list[Column]:
@@ -81,7 +83,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the documents, with their ids."""
     prepared(spark)
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), marks_are_text=True)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(docs, path, marks_are_text=True, remembered=REMEMBERED)
 
 
 STAGES = [
