@@ -141,15 +141,16 @@ def prepare_order_lines(
     lookback_days: int = LOOKBACK_DAYS,
     full_refresh: bool = False,
     published: Published | None = None,
+    watch: str | None = None,
 ) -> Change:
-    """The next state of the lines, written and not published; watches the days that it changes."""
+    """The next state of the lines, written and not published; see ``upserted`` for ``watch``."""
     published = published or table.published()
     since = None
     if published and not full_refresh:
         since = watermark(table, "order_date_utc", lookback_days, published)
     return _prepared(
         table, published, since, lambda: build_order_lines(raw),
-        lambda after: order_lines_batch(raw, after), "order_date",
+        lambda after: order_lines_batch(raw, after), watch,
     )
 
 

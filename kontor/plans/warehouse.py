@@ -196,7 +196,9 @@ class Warehouse:
 
         def revenue() -> dict[str, Published]:
             lines, daily = self.order_lines, self.daily_revenue
-            change = prepare_order_lines(lines, raw, lookback_days, full_refresh, known(lines))
+            change = prepare_order_lines(
+                lines, raw, lookback_days, full_refresh, known(lines), watch="order_date"
+            )
             after = prepare_daily_revenue(daily, lines, change, known(daily))
             return {lines.name: change.state, daily.name: after}
 
