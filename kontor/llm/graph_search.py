@@ -1,8 +1,10 @@
 """Approximate nearest neighbours on robust-pruned directed graphs, one graph per shard.
 
 Sharding: a bounded sample gives the middles of some cells, every vector goes to the cell of its nearest
-middle, and a cell that holds more than a shard is dealt out by hash. A query visits the shards of the
-``PROBED`` cells nearest to it, whatever their number; vectors are never copied for queries.
+middle, and a cell that holds more than a shard is dealt out by hash. A query first visits the shards of
+the ``PROBED`` cells nearest to it. Then it visits every other cell that may hold a nearer vector than
+the last one it has found: a cell is left out only where the plane half-way between its middle and
+another one shows that all of it lies farther away. Vectors are never copied for queries.
 
 Building: greedy searches from a few far-apart starts propose neighbours for each vector. Pruning
 takes the nearest proposal, drops every other one that is nearer to it than to the vector (relaxed by
@@ -37,7 +39,7 @@ STARTS = 32
 RELAXED = 1.2
 #: Distinct vectors per shard, about.
 SHARD_VECTORS = 4096
-#: Cells at most, sampled vectors for each, cells that a query visits, and rounds of moving middles.
+#: Cells at most, sampled vectors for each, cells that a query visits first, and rounds of moving middles.
 MOST_CELLS = 512
 CELL_SAMPLE = 64
 PROBED = 24
@@ -231,6 +233,45 @@ def _visits(shared, number: int):
     return visits("embedding")
 
 
+def within_reach(point: np.ndarray, reach: float, found: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Whether the cell of each middle may hold a vector within ``reach`` of the point.
+
+    A vector of a cell is no nearer to another middle than to its own, so it lies beyond the plane
+    half-way between the two. ``apart`` holds the distances between middles. The slack is more than
+    the rounding of the distances by which vectors were given to cells.
+    """
+    size, long = np.sqrt((point**2).sum()), np.sqrt((found**2).sum(axis=1)).max()
+    with np.errstate(over="ignore", invalid="ignore"):
+        slack = 1e-9 * (size + long) * (size + long + (reach if np.isfinite(reach) else 0.0))
+        squared = ((found - point) ** 2).sum(axis=1)
+        beyond = squared[:, None] - squared[None, :] - slack > 2 * apart * reach
+    return ~(beyond & (apart > 0)).any(axis=1)
+
+
+def _rest(shared, number: int):
+    """The cells that were not among the first ``number`` and may hold a vector within ``reach``."""
+
+    @F.arrow_udf("array<int>")
+    def rest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        apart: dict[int, np.ndarray] = {}
+        for vectors, reaches in batches:
+            out: list[list[int]] = []
+            for row, reach in zip(vectors.to_pylist(), reaches.to_pylist(), strict=True):
+                found = shared.value.get(len(row))
+                if found is None or len(found) <= number:
+                    out.append([])
+                    continue
+                if len(row) not in apart:
+                    apart[len(row)] = np.stack([np.sqrt(((found - m) ** 2).sum(axis=1)) for m in found])
+                point = np.array(row, np.float64)
+                near = within_reach(point, reach, found, apart[len(row)])
+                near[nearest_of(point[None, :], found, number)[0]] = False
+                out.append(np.flatnonzero(near).tolist())
+            yield pa.array(out, pa.list_(pa.int32()))
+
+    return rest("embedding", "reach")
+
+
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     """The graph of one shard, whose vectors have one length."""
     graph = Graph(_matrix(rows["embedding"]))
@@ -317,19 +358,34 @@ def search_graph(
         F.col(vector).cast(kind).alias("embedding"),
     )
     index, cells, shared = build_index(clean(vectors), k)
-    visits = F.explode(_visits(shared, PROBED)).alias("cell")
-    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    asked = (
-        clean(queries).withColumnRenamed("vec_id", "query_id").distinct()
-        .select("query_id", "embedding", F.size("embedding").alias("width"), visits)
-        .join(sized(cells), ["width", "cell"])
-        .withColumn("part", parts)
-        .select("query_id", "embedding", _shard())
-    )
     shards = cells.agg(F.sum("parts")).first()[0] or 1
-    found = search(
-        index, asked, 2 * shards, _opened, _ask(k), "query_id long, vec_id long, score double"
-    )
+    asking = clean(queries).withColumnRenamed("vec_id", "query_id").distinct()
+    result = "query_id long, vec_id long, score double"
+
+    def asked(of: DataFrame, visits: Column) -> DataFrame:
+        part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        return (
+            of.select(
+                "query_id", "embedding", F.size("embedding").alias("width"), F.explode(visits).alias("cell")
+            )
+            .join(sized(cells), ["width", "cell"])
+            .withColumn("part", part)
+            .select("query_id", "embedding", _shard())
+        )
+
+    found = search(index, asked(asking, _visits(shared, PROBED)), 2 * shards, _opened, _ask(k), result)
+    if max(map(len, shared.value.values()), default=0) > PROBED:
+        first = materialise(nearest(found, k, "score").select("query_id", "vec_id", "score"), "first-found")
+        reach = first.groupBy("query_id").agg(
+            F.when(F.count(F.lit(1)) >= k, F.max("score")).alias("reach")
+        )
+        # Fewer than ``k`` found: whatever there is may be an answer.
+        reached = asking.join(reach, "query_id", "left").withColumn(
+            "reach", F.coalesce("reach", F.lit(float("inf")))
+        )
+        more = materialise(asked(reached, _rest(shared, PROBED)), "more-asked")
+        left = index.join(sized(more.select("shard").distinct()), "shard", "left_semi")
+        found = first.unionByName(search(left, more, 2 * shards, _opened, _ask(k), result))
     return nearest(found, k, "score").select("query_id", "rank", "vec_id", "score")
 
 
