@@ -143,15 +143,15 @@ def active_customers(order_lines: DataFrame, days: int = 90) -> DataFrame:
 def order_bitmaps(order_lines: DataFrame, products: DataFrame) -> DataFrame:
     """Partial distinct counts of orders per month, currency and category, to be rolled up.
 
-    Orders are numbered once. A partial row holds the orders of one group whose numbers lie in one
+    The lines are read once, for what is counted and by what; orders are numbered once. A partial row holds the orders of one group whose numbers lie in one
     bucket, as a bitmap; partials of different days or groups merge without the orders themselves.
     """
-    numbered = _numbered(order_lines.select("order_id").where("order_id is not null").distinct())
-    by_group = (
+    by_group = materialise(
         order_lines.join(products.select("product_id", "category"), "product_id", "left")
-        .select("order_id", month_start(F.col("order_date")).alias("month"), "currency", "category")
-        .distinct()
+        .select("order_id", month_start(F.col("order_date")).alias("month"), "currency", "category"),
+        "orders-by-group",
     )
+    numbered = _numbered(by_group.select("order_id").where("order_id is not null").distinct())
     return (
         by_group.join(numbered, "order_id")
         .groupBy("month", "currency", "category", F.bitmap_bucket_number("n").alias("bucket"))
