@@ -11,12 +11,14 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import partial
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontor.schemas import EXTRACTS, HOLIDAY_SEED, RAW
+from kontor.session import WRITTEN, side_by_side
 from kontor.sources.files import exists, remove_older
 from kontor.sources.lists import Listing, PublishedLists, Slice
 
@@ -68,8 +70,9 @@ class RawLayer:
                 if not held and exists(self.spark, f"{self.folder}/{name}"):
                     raise ValueError(f"{name} lies there unlisted; replace it")
         run = f"{base.version + 1:09d}-{uuid.uuid4().hex[:8]}"
-        for name, rows in extracts.items():
-            with_load_metadata(rows, load_id).write.parquet(self._at(run, name))
+        side_by_side(
+            *[partial(self._write, rows, load_id, run, name) for name, rows in extracts.items()]
+        )
         added = {run: Slice(run, maxima={"load_id": load_id})}
         self.lists.publish(
             base,
@@ -79,6 +82,10 @@ class RawLayer:
             },
         )
 
+    def _write(self, rows: DataFrame, load_id: str, run: str, name: str) -> None:
+        loaded = with_load_metadata(rows, load_id)
+        loaded.write.options(**WRITTEN).parquet(self._at(run, name))
+
     def read(self, name: str, listing: Listing | None = None) -> DataFrame:
         """A raw table with its load metadata, as of the newest list or a given one."""
         loads = (listing or self.lists.newest()).tables.get(name)
