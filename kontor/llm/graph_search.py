@@ -45,6 +45,8 @@ CELL_SAMPLE = 64
 PROBED = 24
 _ROUNDS = 8
 _AT_ONCE = 256
+#: Numbers of a batch that is pruned at once: 16 MB.
+_PAIRS = 1 << 21
 _EXPANDED = 4
 
 
@@ -53,6 +55,34 @@ def _apart(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return ((many - one[:, None, :]) ** 2).sum(axis=2)
 
 
+def _diverse(rows: np.ndarray, away: np.ndarray, relaxed: float) -> np.ndarray:
+    """Of each line of rows, nearest first, those that no row chosen before is nearer to; -1 is none.
+
+    ``away`` holds the rows as seen from their node. That keeps the numbers as small as the distances
+    between them, so these come from one product of matrices.
+    """
+    each = np.arange(len(rows))
+    out = np.full((len(rows), DEGREE), -1, np.int64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = (away**2).sum(axis=2)
+        between = away @ away.transpose(0, 2, 1)
+        between *= -2.0
+        between += size[:, :, None]
+        between += size[:, None, :]
+        apart = np.where(rows >= 0, size, np.inf)
+        nearer = relaxed**2 * between <= apart[:, None, :]
+    left = apart.copy()
+    for place in range(DEGREE):
+        pick = left.argmin(axis=1)
+        there = np.isfinite(left[each, pick])
+        if not there.any():
+            break
+        out[there, place] = rows[each, pick][there]
+        left[nearer[each, pick] & there[:, None]] = np.inf
+        left[each, pick] = np.inf
+    return out
+
+
 class Graph:
     """Vectors and the out-edges of each; -1 fills short lists."""
 
@@ -136,20 +166,17 @@ class Graph:
         proposed = np.where(proposed == nodes[:, None], -1, proposed)
         proposed = np.sort(proposed, axis=1)
         proposed[:, 1:][proposed[:, 1:] == proposed[:, :-1]] = -1
-        points = self.vectors[np.maximum(proposed, 0)]
-        apart = np.where(proposed >= 0, _apart(self.vectors[nodes], points), np.inf)
-        each = np.arange(len(nodes))
-        left = apart.copy()
+        # What is empty comes first, and what is empty everywhere is cut off.
+        proposed = np.sort(proposed, axis=1)
+        proposed = proposed[:, int((proposed < 0).sum(axis=1).min(initial=proposed.shape[1] - 1)) :]
         out = np.full((len(nodes), DEGREE), -1, np.int64)
-        for place in range(DEGREE):
-            pick = left.argmin(axis=1)
-            there = np.isfinite(left[each, pick])
-            if not there.any():
-                break
-            out[there, place] = proposed[each, pick][there]
-            between = _apart(points[each, pick], points)
-            left[there[:, None] & (relaxed**2 * between <= apart)] = np.inf
-            left[each, pick] = np.inf
+        width = proposed.shape[1]
+        step = max(1, _PAIRS // (width * max(width, self.vectors.shape[1])))
+        for first in range(0, len(nodes), step):
+            some = slice(first, first + step)
+            away = self.vectors[np.maximum(proposed[some], 0)]
+            away -= self.vectors[nodes[some], None, :]
+            out[some] = _diverse(proposed[some], away, relaxed)
         return out
 
     def _insert(self, nodes: np.ndarray, relaxed: float) -> None:
@@ -334,7 +361,8 @@ def build_index(
     part = F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int")
     dealt = placed.join(sized(cells), ["width", "cell"]).withColumn("part", part)
     # As many partitions as shards: building costs much more than a group's bytes tell.
-    index = dealt.select(_shard(), "embedding", "ids").repartition(2 * shards, "shard")
+    # Dealt by range: hashes of so few names would put several shards into some tasks, none into others.
+    index = dealt.select(_shard(), "embedding", "ids").repartitionByRange(2 * shards, "shard")
     built = index.groupBy("shard").applyInPandas(
         _build, f"shard string, node long, embedding {kind}, ids array<long>, edges array<long>"
     )
