@@ -204,11 +204,16 @@ class Encoder:
 
 #: A blank before something that is not white space begins a chunk: no match of the pattern spans it.
 _CUT = re.compile(r"(?= \S)")
+#: A blank before white space or the end. Where there is none, every blank begins a chunk.
+_LOOSE = re.compile(r" [^\S]| \Z")
 
 
 def chunks_of(text: str) -> list[str]:
     """The text in chunks that the pattern and the merges treat independently."""
-    chunks = _CUT.split(text)
+    if "\0" not in text and not _LOOSE.search(text):
+        chunks = text.replace(" ", "\0 ").split("\0")
+    else:
+        chunks = _CUT.split(text)
     return chunks if chunks[0] else chunks[1:]
 
 

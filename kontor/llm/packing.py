@@ -104,19 +104,25 @@ class _Words:
             known.clear()
             known.update(self.special)
             self.held = 0
+        led: list[str] = []
         parts: dict[str, tuple[str, ...]] = {}
         wanted: set[str] = set()
         for chunk in chunks:
             if chunk in known:
                 continue
+            # Most of what is new is a blank and letters.
+            if chunk[0] == " " and chunk[1:].isalpha():
+                led.append(chunk)
+                continue
             split = _parts(chunk)
             if len(split) > 1:
                 parts[chunk] = split
                 wanted.update([p for p in split if p not in known])
             else:
                 wanted.add(chunk)
-        led: list[str] = []
         first: list[str] = []
+        kept = (led, list(wanted), list(parts))
+        led = led.copy()
         for part in wanted:
             if part[0] == " " and _LED.match(part):
                 led.append(part)
@@ -127,21 +133,26 @@ class _Words:
         found = self.tokenizer.encode_batch_fast(["".join(led), *first], add_special_tokens=False)
         for part, encoded in zip(first, found[1:], strict=True):
             known[part] = np.array(encoded.ids, "<u4").tobytes()
-        ids = np.array(found[0].ids, "<u4")
-        ends = np.cumsum(self.sizes[ids])
-        sizes = np.cumsum(list(map(len, map(str.encode, led))))
+        known.update(zip(led, self._cut_up(led, found[0].ids), strict=True))
+        for chunk, split in parts.items():
+            known[chunk] = b"".join([known[p] for p in split])
+        for some in kept:
+            self._passing += [c for c in some if len(c) > WORTH]
+            self.held += len("".join(some)) + _ENTRY * len(some)
+
+    def _cut_up(self, parts: list[str], ids: list[int]) -> Iterator[bytes]:
+        """The ids of each part, from those of the text that they make."""
+        numbers = np.array(ids, "<u4")
+        ends = np.cumsum(self.sizes[numbers])
+        raw = np.frombuffer("".join(parts).encode(), np.uint8)
+        # Bytes before each character, and so before the end of each part.
+        places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        sizes = places[np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))]
         stops = np.searchsorted(ends, sizes)
         if not np.array_equal(ends[stops], sizes):
             raise ValueError("the vocabulary is not byte-level, or its pattern joins words")
-        raw, at = ids.tobytes(), 0
-        for part, stop in zip(led, ((stops + 1) * 4).tolist(), strict=True):
-            known[part] = raw[at:stop]
-            at = stop
-        for chunk, split in parts.items():
-            known[chunk] = b"".join([known[p] for p in split])
-        for kept in (wanted, parts):
-            self._passing += [c for c in kept if len(c) > WORTH]
-            self.held += sum(map(len, kept)) + _ENTRY * len(kept)
+        stops = ((stops + 1) * 4).tolist()
+        return map(numbers.tobytes().__getitem__, map(slice, [0, *stops[:-1]], stops))
 
 
 def _parts(chunk: str) -> tuple[str, ...]:
