@@ -1,0 +1,86 @@
+"""A night's staging serves its audit and its marts."""
+
+from datetime import datetime
+
+from frames import as_dict, line, order, shop
+
+from kontor.plans import incremental
+from kontor.plans.quality import Bounds
+from kontor.plans.warehouse import Warehouse
+
+WIDE = Bounds((0, 10**9), (1, 99), (-1e9, 1e9), (-1e9, 1e9), rounding_by_lines=True)
+FIRST, SECOND = datetime(2024, 3, 3), datetime(2024, 3, 20)
+FACTS = ("fct_order_lines", "fct_order_fulfilment", "agg_daily_revenue")
+
+
+def event(number, order_id, status, at, recorded, **more):
+    return {
+        "shipment_id": f"S{number}", "order_id": order_id, "status": status,
+        "occurred_at": f"{at}T00:00:00+00:00", "recorded_at": f"{recorded}T00:00:00+00:00", **more,
+    }
+
+
+def nights(spark):
+    """Two raw layers: later loads correct an order, move a line and re-date an event."""
+    customers = [{"customer_id": "C1", "created_at": "2024-01-01T00:00:00+00:00"}]
+    products = [{"product_id": "P1", "price_eur": 5.0, "created_at": "2024-01-01T00:00:00+00:00"}]
+    known = [
+        order("old", "2024-01-05T10:00:00+00:00", status="delivered"),
+        order("mid", "2024-02-28T10:00:00+00:00", discount_amount_local=3.0),
+        order("new", "2024-03-02T10:00:00+00:00", status="refunded"),
+    ]
+    lines = [line("o1", "old"), line("m1", "mid"), line("m2", "mid", price=20.0), line("n1", "new")]
+    rates = [("2024-03-04", 0.95)]
+    shipped = [event(1, "old", "shipped", "2024-01-06", "2024-01-06")]
+    first = shop(spark, known, lines, shipped, (), rates, customers, products)
+    later = {"load_id": "2"}
+    second = shop(
+        spark,
+        [
+            *known,
+            order("new", "2024-03-02T10:00:00+00:00", shipping_amount_local=4.99, **later),
+            order("mid", "2024-01-20T10:00:00+00:00", **later),
+            order("next", "2024-03-10T10:00:00+00:00", currency="CHF", shipping_amount_local=1.0),
+        ],
+        [*lines, line("o1", "next", price=7.0, **later), line("x1", "next"), line("n2", "new")],
+        [
+            *shipped,
+            event(2, "old", "delivered", "2024-01-09", "2024-03-09"),
+            event(3, "mid", "shipped", "2024-02-29", "2024-03-12"),
+            event(3, "mid", "shipped", "2024-02-29", "2024-02-29", **later),
+        ],
+        [{
+            "refund_id": "R1", "order_id": "new", "amount_eur": 2.0,
+            "occurred_at": "2024-03-11T00:00:00+00:00", "recorded_at": "2024-03-12T00:00:00+00:00",
+        }],
+        rates, customers, products,
+    )
+    return first, second
+
+
+def content(warehouse):
+    return {
+        name: sorted(map(str, df.collect()))
+        for name, df in warehouse.marts().items()
+        if name in (*FACTS, "dim_product", "dim_customer")
+    }
+
+
+def test_an_audited_night_builds_its_marts_from_what_it_staged(spark, tmp_path, monkeypatch):
+    layers = list(zip(nights(spark), (FIRST, SECOND), strict=True))
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    for raw, at in layers:
+        plain.run(raw, at, bounds=None)
+
+    def twice(*_):
+        raise AssertionError("the raw layer was deduplicated again")
+
+    for name in ("stg_orders", "stg_order_lines", "stg_shipments", "keep_latest_among"):
+        monkeypatch.setattr(incremental, name, twice)
+    audited = Warehouse(spark, str(tmp_path / "audited"))
+    for raw, at in layers:
+        audited.run(raw, at, bounds=WIDE)
+    found = content(audited)
+    assert all(found.values()) and found == content(plain)
+    fulfilled = as_dict(audited.marts()["fct_order_fulfilment"], "order_id", "delivered_at")
+    assert fulfilled["old"] == datetime(2024, 1, 9)
