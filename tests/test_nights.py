@@ -1,12 +1,22 @@
-"""A night's staging serves its audit and its marts."""
+"""A night's staging serves its audit and its marts, and an upsert writes its batch once."""
 
 from datetime import datetime
 
+import pytest
 from frames import as_dict, line, order, shop
 
+from kontor.operators.upsert import upsert
 from kontor.plans import incremental
+from kontor.plans.incremental import (
+    backfill_order_lines,
+    build_order_lines,
+    order_lines_table,
+    refresh_order_lines,
+)
 from kontor.plans.quality import Bounds
 from kontor.plans.warehouse import Warehouse
+from kontor.schemas import _schema
+from kontor.sources.tables import SlicedTable
 
 WIDE = Bounds((0, 10**9), (1, 99), (-1e9, 1e9), (-1e9, 1e9), rounding_by_lines=True)
 FIRST, SECOND = datetime(2024, 3, 3), datetime(2024, 3, 20)
@@ -84,3 +94,38 @@ def test_an_audited_night_builds_its_marts_from_what_it_staged(spark, tmp_path,
     assert all(found.values()) and found == content(plain)
     fulfilled = as_dict(audited.marts()["fct_order_fulfilment"], "order_id", "delivered_at")
     assert fulfilled["old"] == datetime(2024, 1, 9)
+
+
+def test_the_batch_of_an_upsert_is_written_once(spark, tmp_path, monkeypatch):
+    schema = _schema("id string, at timestamp_ntz, v bigint")
+    table = SlicedTable(spark, str(tmp_path / "t"), schema, "at", key="id")
+    january = datetime(2024, 1, 5)
+    table.replace_all(spark.createDataFrame([("a", january, 1), ("b", january, 1)], schema))
+    added, write = [], SlicedTable.write
+    monkeypatch.setattr(
+        SlicedTable, "write", lambda t, rows, *more: added.append(rows) or write(t, rows, *more)
+    )
+    upsert(table, spark.createDataFrame([("b", january, 2), ("c", january, 2)], schema), "id")
+    assert [[r["id"] for r in rows.collect()] for rows in added] == [["a"]]
+    assert as_dict(table.current(), "id", "v") == {"a": 1, "b": 2, "c": 2}
+    entry = table.published().slices["2024-01"]
+    assert (entry.rows, entry.low, entry.high) == (3, "a", "c")
+    keys = spark.createDataFrame([("a",), ("c",), ("z",)], "id string")
+    assert table.holding(keys, table.published().slices, 3) == ["2024-01"]
+
+
+@pytest.mark.parametrize("share", [0, 4])
+def test_a_batch_of_most_orders_does_not_list_its_keys(spark, tmp_path, monkeypatch, share):
+    first, second = nights(spark)
+    listed = []
+    among = incremental.keep_latest_among
+    monkeypatch.setattr(
+        incremental, "keep_latest_among", lambda *a: listed.append(a[1]) or among(*a)
+    )
+    monkeypatch.setattr(incremental, "MANY_OF_ALL", share)
+    table = order_lines_table(spark, str(tmp_path / "lines"))
+    refresh_order_lines(table, first)
+    backfill_order_lines(table, second, "2024-01-01", "2024-03-31", lookback_days=90)
+    assert listed == ([] if share else ["order_id", "order_line_id"])
+    full = build_order_lines(second)
+    assert sorted(map(str, table.current().collect())) == sorted(map(str, full.collect()))
